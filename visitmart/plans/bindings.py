@@ -287,7 +287,8 @@ class Bound:
         return j.select(
             j.event_id.alias("sch_id"), j.pat_id1, j.ida, j.pat_name,
             j.ts.alias("app_dttm"), created.alias("create_dttm"),
-            j.props.alias("activity"), F.concat(j.event_type, _s(" visit")).alias("short_desc"),
+            F.concat(_s("k"), F.regexp_extract(j.props, r"\d+", 0)).alias("activity"),
+            F.concat(j.event_type, _s(" visit")).alias("short_desc"),
             F.concat(_s("Suite "), j.event_type).alias("location_name"),
             F.lit(0).alias("location_id"),
             j.user_id.alias("staff_id"), j.event_type.alias("stf_last_name"),
@@ -459,7 +460,7 @@ SQL_VIEWS: dict[str, str] = {
         SELECT e.event_id AS sch_id, cn.pat_id1, cn.ida, cn.pat_name,
                e.ts AS app_dttm,
                e.ts - to_hours(CAST(floor(e.value) AS BIGINT)) AS create_dttm,
-               e.props AS activity, e.event_type || ' visit' AS short_desc,
+               'k' || regexp_extract(e.props, '\\d+', 0) AS activity, e.event_type || ' visit' AS short_desc,
                'Suite ' || e.event_type AS location_name, 0 AS location_id,
                e.user_id AS staff_id, e.event_type AS stf_last_name,
                CAST(NULL AS VARCHAR) AS stf_first_name, CAST(NULL AS BIGINT) AS attending_md_id,

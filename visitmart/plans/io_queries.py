@@ -1,4 +1,170 @@
-"""Queries over the sources and sinks (filled in below)."""
+"""Registered queries that go through the sources and sinks.
 
-IO_QUERIES: dict = {}
-IO_SQL: dict = {}
+Each one runs an extract, writes it the way the extract tool does, loads it
+with the matching loader spec and returns what the target table holds:
+
+* ``datamart_refresh`` (J9): coverage datamart refreshed twice; current version.
+* ``csv_full_refresh`` (J21): reschedule bumps -> CSV -> ``mobumps`` loader
+  (``%m/%d/%Y`` dates, quoted names) -> full refresh.
+* ``infusion_append`` (J22): add-on and day-7 infusion extracts -> CSV ->
+  one loader that keeps 5 of the 6 fields -> two appends into one table.
+* ``infusion_stream_append`` (J22 as a stream): the same files landed in a
+  folder and taken by a file stream; the job runs twice, rows land once.
+* ``clinic_list_load`` (S7, F10, D8): clinic list -> CSV with the unquoted
+  "LAST, FIRST" name -> loader that reads it as two fields and parses a
+  datetime with a date format (trailing time ignored).
+* ``quotename_export`` (F1): every document's full text through QUOTENAME.
+
+Files go to a fresh folder under the cluster's shared checkpoint
+directory. The oracle SQL derives the loaded rows from the extract's SQL:
+the CSV round trip removes the quotes that QUOTENAME added.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import quote_name
+from ..sources.csvload import LoadSpec, load_csv
+from ..sources.sinks import append, export_csv, read_current, read_table, refresh, scratch_dir
+from ..streaming.append_stream import stream_append
+from . import catalog
+from .bindings import Bound
+from .export import export_view
+
+# -- loader specs (column lists of the loaders; formats as the loaders give) --
+
+MOBUMPS = LoadSpec(
+    fields=("pat_name", "mrn", "activity", "provider", "ed", "ad", "calculatedays"),
+    target=("pat_name", "mrn", "activity", "provider", "editDate", "apptDate", "calculatedays"),
+    dates={"editDate": ("ed", "%m/%d/%Y"), "apptDate": ("ad", "%m/%d/%Y")},
+    types={"calculatedays": "bigint"},
+    header=("PATIENT", "MRN", "ACTIVITY", "PROVIDER", "EDIT_DATE", "APPT_DATE", "CALCULATED_DAYS"))
+
+INFUSION_MNGMNT = LoadSpec(
+    fields=("ad", "pat_name", "MRN", "Location", "activity"),
+    target=("appt_dttm", "pat_name", "MRN", "Location", "activity"),
+    dates={"appt_dttm": ("ad", "%Y-%m-%d %H:%i:%s")},
+    header=("App_DtTm", "PAT_NAME", "MRN", "Location", "Activity"))
+
+SFPATS = LoadSpec(
+    fields=("mrn", "dob", "pat_last", "pat_first", "adate", "ladate"),
+    target=("mrn", "birth_date", "pat_last", "pat_first", "app_dttm", "lastapp_dt"),
+    dates={"birth_date": ("dob", "%Y-%m-%d"), "app_dttm": ("adate", "%Y-%m-%d %H:%i:%s"),
+           "lastapp_dt": ("ladate", "%Y-%m-%d")},
+    header=("IDA", "BIRTH_DTTM", "PAT_NAME", "App_DtTm", "Last_Appt"))
+
+
+def q_datamart_refresh(spark: SparkSession, d: str) -> DataFrame:
+    target = scratch_dir(spark, "datamart_refresh")
+    mart = catalog.q_visit_vitals_drugs(spark, d)
+    refresh(mart, target)
+    refresh(mart, target)          # a rerun replaces, never doubles
+    return read_current(spark, target)
+
+
+def q_csv_full_refresh(spark, d):
+    root = scratch_dir(spark, "csv_full_refresh")
+    export_csv(catalog.q_bumps_literal(spark, d), f"{root}/extract")
+    loaded = load_csv(spark, f"{root}/extract", MOBUMPS)
+    refresh(loaded.rows, f"{root}/mobumps")
+    return export_view(read_current(spark, f"{root}/mobumps"))
+
+
+def _infusion_extracts(spark, d, root):
+    export_csv(catalog.q_infusions_next6(spark, d), f"{root}/landing/addon")
+    export_csv(catalog.q_infusions_day7(spark, d), f"{root}/landing/day7")
+    return [f"{root}/landing/addon", f"{root}/landing/day7"]
+
+
+def q_infusion_append(spark, d):
+    root = scratch_dir(spark, "infusion_append")
+    target = f"{root}/infusion_mngmnt"
+    for path in _infusion_extracts(spark, d, root):
+        append(load_csv(spark, path, INFUSION_MNGMNT).rows, target)
+    return export_view(read_table(spark, target))
+
+
+def q_infusion_stream_append(spark, d):
+    root = scratch_dir(spark, "infusion_stream_append")
+    _infusion_extracts(spark, d, root)
+    target, ckpt = f"{root}/infusion_mngmnt", f"{root}/_stream_checkpoint"
+    stream_append(spark, f"{root}/landing", INFUSION_MNGMNT, target, ckpt)
+    stream_append(spark, f"{root}/landing", INFUSION_MNGMNT, target, ckpt)   # nothing new: no-op
+    return export_view(read_table(spark, target))
+
+
+def q_clinic_list_load(spark, d):
+    root = scratch_dir(spark, "clinic_list_load")
+    export_csv(catalog.q_clinic_last_visit(spark, d), f"{root}/extract")
+    loaded = load_csv(spark, f"{root}/extract", SFPATS)
+    refresh(loaded.rows, f"{root}/sfpats")
+    return export_view(read_current(spark, f"{root}/sfpats"))
+
+
+def q_quotename_export(spark, d):
+    docs = Bound(spark, d).table("documents")
+    return docs.select("doc_id", quote_name("text").alias("quoted_text"))
+
+
+IO_QUERIES = {
+    "datamart_refresh": q_datamart_refresh,
+    "csv_full_refresh": q_csv_full_refresh,
+    "infusion_append": q_infusion_append,
+    "infusion_stream_append": q_infusion_stream_append,
+    "clinic_list_load": q_clinic_list_load,
+    "quotename_export": q_quotename_export,
+}
+
+# -- oracle SQL -------------------------------------------------------------
+
+
+def _unquote(col: str) -> str:
+    """What a CSV reader makes of a QUOTENAME'd field; '' reads as NULL."""
+    return (f"NULLIF(CASE WHEN {col} LIKE '\"%\"' THEN replace(substr({col}, 2, length({col}) - 2), '\"\"', '\"')"
+            f" ELSE {col} END, '')")
+
+
+def _sub(sql: str) -> str:
+    return f"(\n{sql}\n)"
+
+
+_MOBUMPS_SQL = f"""
+SELECT {_unquote('PATIENT')} AS pat_name, MRN AS mrn, ACTIVITY AS activity, {_unquote('PROVIDER')} AS provider,
+       strftime(strptime(EDIT_DATE, '%m/%d/%Y'), '%Y-%m-%d') AS editDate,
+       strftime(strptime(APPT_DATE, '%m/%d/%Y'), '%Y-%m-%d') AS apptDate,
+       CAST(CALCULATED_DAYS AS BIGINT) AS calculatedays
+FROM {_sub(catalog.SQL['bumps_literal'])} b"""
+
+_INFUSION_SQL = """
+SELECT App_DtTm AS appt_dttm, {pn} AS pat_name, MRN, {loc} AS Location, Activity AS activity
+FROM {src} t"""
+
+
+def _infusion_rows(name: str) -> str:
+    return _INFUSION_SQL.format(pn=_unquote("PAT_NAME"), loc=_unquote("Location"),
+                                src=_sub(catalog.SQL[name]))
+
+
+_APPEND_SQL = _infusion_rows("infusions_next6") + "\nUNION ALL\n" + _infusion_rows("infusions_day7")
+
+_SFPATS_SQL = f"""
+SELECT IDA AS mrn, substr(BIRTH_DTTM, 1, 10) AS birth_date,
+       split_part(PAT_NAME, ',', 1) AS pat_last,
+       NULLIF(substr(PAT_NAME, strpos(PAT_NAME, ',') + 1), '') AS pat_first,
+       App_DtTm AS app_dttm, Last_Appt AS lastapp_dt
+FROM {_sub(catalog.SQL['clinic_last_visit'])} c"""
+
+_QUOTENAME_SQL = """
+SELECT doc_id, CASE WHEN length(text) <= 128 THEN '"' || replace(text, '"', '""') || '"' END AS quoted_text
+FROM documents"""
+
+IO_SQL = {
+    "datamart_refresh": catalog.SQL["visit_vitals_drugs"],
+    "csv_full_refresh": _MOBUMPS_SQL,
+    "infusion_append": _APPEND_SQL,
+    "infusion_stream_append": _APPEND_SQL,
+    "clinic_list_load": _SFPATS_SQL,
+    "quotename_export": _QUOTENAME_SQL,
+}

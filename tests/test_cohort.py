@@ -37,8 +37,9 @@ def chain(spark):
         visit(9, d(2022, 6, 2), "np"),
     ], VIS)
     earliest = cohort.first_event_cohort(diag, "C50.001", "C50.929", d(2022, 1, 1), d(2022, 8, 22))
-    np_ = cohort.new_patient_cohort(earliest, visits, "np")
-    nd = cohort.existing_patient_cohort(earliest, visits, "np", np_)
+    first_day = cohort.first_day_visits(cohort.cohort_visits(visits, earliest))
+    np_ = cohort.new_patient_cohort(first_day, "np")
+    nd = cohort.existing_patient_cohort(first_day, "np", np_)
     return diag, visits, earliest, np_, nd
 
 

@@ -43,29 +43,47 @@ def first_event_cohort(diagnoses: DataFrame, code_lo: str, code_hi: str,
     return first.filter(F.col("earliest_diag_date").between(F.lit(first_from), F.lit(first_to)))
 
 
-def _same_day_visits(earliest: DataFrame, visits: DataFrame, code_pred) -> DataFrame:
-    v = (visits.filter(code_pred)
-               .select("pat_id1", F.col("appt_date").alias("earliest_diag_date"),
-                       "appt_dt", "patient_name", "pat_mrn"))
-    # Equi-join on (patient, day): a patient with many visits spreads over
-    # many join keys instead of landing in one task.
-    return earliest.join(v, ["pat_id1", "earliest_diag_date"])
+COHORT_VISIT_COLUMNS = ("pat_id1", "earliest_diag_date", "appt_date", "appt_dt", "patient_name",
+                        "pat_mrn", "actv_code")
 
 
-def new_patient_cohort(earliest: DataFrame, visits: DataFrame, new_code: str) -> DataFrame:
+def cohort_visits(visits: DataFrame, earliest: DataFrame) -> DataFrame:
+    """Visits of cohort patients only, each carrying its patient's first day.
+
+    J2-J4 read visits of J1 patients or of a subset of them, so the visit
+    fact is joined to the cohort once, keeping only the columns they read;
+    the first-event day rides along, which turns J2/J3's same-day join into
+    a filter.
+    """
+    return visits.join(earliest, "pat_id1").select(*COHORT_VISIT_COLUMNS)
+
+
+def first_day_visits(visits: DataFrame) -> DataFrame:
+    """Cohort visits on the patient's first-event day (shared by J2 and J3).
+
+    ``visits`` comes from ``cohort_visits``. The source's join on (patient,
+    day) is a filter here: no shuffle, and a patient with many visits is
+    never gathered into one task.
+    """
+    return (visits.filter(F.col("actv_code").isNotNull()
+                          & (F.col("appt_date") == F.col("earliest_diag_date")))
+                  .select("pat_id1", "earliest_diag_date", "appt_dt", "patient_name", "pat_mrn",
+                          "actv_code"))
+
+
+def new_patient_cohort(first_day: DataFrame, new_code: str) -> DataFrame:
     """Cohort patients with a new-patient visit on their first day; flag 'Y'."""
-    j = _same_day_visits(earliest, visits, eq_ci("actv_code", new_code))
+    j = first_day.filter(eq_ci("actv_code", new_code))
     return j.select(*COHORT_COLUMNS[:-1], F.lit("Y").alias("np_ind")).distinct()
 
 
-def existing_patient_cohort(earliest: DataFrame, visits: DataFrame, new_code: str,
-                            new_patients: DataFrame) -> DataFrame:
+def existing_patient_cohort(first_day: DataFrame, new_code: str, new_patients: DataFrame) -> DataFrame:
     """Other-activity visits on the first day, minus J2 patients; flag 'N'.
 
     Visits with a NULL activity are in neither J2 nor J3, as in the source.
     ``NOT IN (subquery)`` on a non-null key is a plain anti-join.
     """
-    j = _same_day_visits(earliest, visits, fold("actv_code") != F.lit(fold_literal(new_code)))
+    j = first_day.filter(fold("actv_code") != F.lit(fold_literal(new_code)))
     j = j.join(new_patients.select("pat_id1"), "pat_id1", "left_anti")
     return j.select(*COHORT_COLUMNS[:-1], F.lit("N").alias("np_ind")).distinct()
 
@@ -134,3 +152,66 @@ def mailing_list(cohort: DataFrame, admin: DataFrame, patient: DataFrame, ident:
         F.col("pat_mrn").alias("MRN"), "np_ind", "pat_id1",
         F.lit(as_datetime(as_of)).cast("timestamp_ntz").alias("Extract_Date"),
     ).distinct()
+
+
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
+class MailingProcedure:
+    """The mailing procedure as one object: its temp tables are the steps.
+
+    Steps are lazy. The one intermediate that several steps read, the
+    cohort's visits (the columns J2-J4 read, with each patient's first-event
+    day), goes through
+    ``keep``: normally a table written to the cluster's shared checkpoint
+    folder, as the source materialises its temp tables. Spark plans are
+    trees, so without it every reader would recompute the visit join from
+    the fact tables; with it the join runs once, and a lost executor costs a
+    re-read, not a recomputation. Everything after it is small.
+    """
+
+    def __init__(self, diagnoses: DataFrame, visits: DataFrame, params, keep=_same):
+        self._diagnoses, self._all_visits, self.p, self._keep = diagnoses, visits, params, keep
+        self._visits: DataFrame | None = None
+
+    @property
+    def earliest(self) -> DataFrame:
+        p = self.p
+        return first_event_cohort(self._diagnoses, p.code_lo, p.code_hi, p.first_from, p.first_to)
+
+    @property
+    def visits(self) -> DataFrame:
+        if self._visits is None:
+            self._visits = self._keep(cohort_visits(self._all_visits, self.earliest))
+        return self._visits
+
+    @property
+    def first_day(self) -> DataFrame:
+        return first_day_visits(self.visits)
+
+    @property
+    def new_patients(self) -> DataFrame:
+        return new_patient_cohort(self.first_day, self.p.new_patient_code)
+
+    @property
+    def existing(self) -> DataFrame:
+        return existing_patient_cohort(self.first_day, self.p.new_patient_code, self.new_patients)
+
+    @property
+    def single(self) -> DataFrame:
+        return single_visit_patients(self.existing, self.visits, self.p.visit_from, self.p.visit_to)
+
+    @property
+    def review(self) -> DataFrame:
+        # Whole visit rows, for the few J4 patients: one semi-joined pass.
+        return single_visit_review(self._all_visits, self.single)
+
+    @property
+    def cohort(self) -> DataFrame:
+        return cohort_union(self.new_patients, self.existing, self.p.excluded_ids)
+
+    def mailing(self, admin: DataFrame, patient: DataFrame, ident: DataFrame, patlog: DataFrame,
+                prompt: DataFrame, as_of) -> DataFrame:
+        return mailing_list(self.cohort, admin, patient, ident, patlog, prompt, as_of,
+                            self.p.inmate_class, self.p.homeless_word)

@@ -175,7 +175,7 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
                       admin: DataFrame, patient: DataFrame, ident: DataFrame, prompt: DataFrame,
                       patient_race: DataFrame, patient_provider: DataFrame, diagnoses: DataFrame,
                       vw_patient: DataFrame, as_of, races, ethnicities, cancel_code: str,
-                      days: int = 7) -> DataFrame:
+                      days: int = 7, keep=lambda df: df) -> DataFrame:
     """32-column contact list of current appointments in [today, today+days]
     for patients of listed races or ethnicities, paired with every current
     row of the same schedule set.
@@ -186,6 +186,9 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
     sch = schedule.filter((F.col("version") == 0)
                           & day_window_inclusive("app_dttm", as_of, days)
                           & ~(F.col("schstatus_hist_sd") == F.lit(cancel_code)))
+    # The window's rows feed three steps (detail, diagnosis lookup, set
+    # pairing): ``keep`` (a checkpoint in production) computes them once.
+    sch = keep(sch)
     loc = staff.select(F.col("staff_id").alias("location"), F.col("last_name").alias("loc_name"))
     acts = activity_lookup(cpt, buckets).withColumnRenamed("hsp_code", "activity")
     adm = admin.select("pat_id1", "gender", "pat_adr1", "pat_city", "pat_state", "pat_postal",
@@ -205,13 +208,14 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
         "ida", F.when(F.col("_has_patient"), F.col("ida"))).withColumn(
         "ident_id", F.when(F.col("_has_patient"), F.col("ident_id"))).withColumn(
         "ident_version", F.when(F.col("_has_patient"), F.col("ident_version")))
-    # Races come from Admin's patient key: no admin row, no race.
+    # Races and age come from Admin's patient key: no admin row, no value.
     race = F.when(F.col("_has_admin"), F.col("race"))
     j = j.filter((F.col("ident_id").isNull() | (F.col("ident_version") == 0))
                  & (in_ci(race, races) | in_ci("Ethnicity", ethnicities)))
-    needed = j.select("pat_id1")
+    # First diagnoses only for patients with an appointment in the window:
+    # the semi-join cuts the diagnosis history before it is aggregated.
     j = (j.join(patient_provider.select("pat_id1", "provider_name"), "pat_id1", "left")
-          .join(first_diagnosis(diagnoses, needed), "pat_id1", "left")
+          .join(first_diagnosis(diagnoses, sch), "pat_id1", "left")
           .join(vw_patient.select("pat_id1", "birth_dttm"), "pat_id1", "left"))
     detail = j.select(
         "sch_set_id",
@@ -226,7 +230,7 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
         "gender",
         quote_name(race).alias("Races"),
         "Ethnicity",
-        age_years("birth_dttm", "app_dttm").alias("Age"),
+        F.when(F.col("_has_admin"), age_years("birth_dttm", "app_dttm")).alias("Age"),
         F.col("pat_work_phone").alias("Pat_Work_Phone"),
         F.col("pat_work_phone_ex").alias("Pat_Work_Phone_Ex"),
         F.col("pat_home_phone").alias("Pat_Home_Phone"),
@@ -242,7 +246,10 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
         "actv_class", "actv_bucket",
     ).distinct()
     run_day = F.lit(now.date())
+    # Only sets with a row in the window can pair: cut the tip side to them
+    # before deduplicating, instead of deduplicating all history.
     tip = (schedule.filter(F.col("version") == 0)
+                   .join(sch.select("sch_set_id"), "sch_set_id", "left_semi")
                    .select("sch_set_id",
                            F.col("schstatus_hist_sd").alias("SchStatus_Hist_SD"),
                            F.col("create_dttm").alias("Create_DtTm"),
@@ -300,9 +307,12 @@ def clinic_last_visit(vw_patient: DataFrame, vw_schedule: DataFrame, schedule: D
                     .select("pat_id1", "pat_name", "app_dttm")
                     .join(vw_patient.select("pat_id1", "ida", "birth_dttm"), "pat_id1")
                     .withColumn("day", F.to_date("app_dttm")))
+    keys = t.select("pat_id1", "day")
+    # History of the listed patients only, cut before it is deduplicated.
     hist = (schedule.filter((F.col("version") == 0) & in_ci("schstatus_hist_sd", completed_statuses))
+                    .join(keys.select("pat_id1"), "pat_id1", "left_semi")
                     .select("pat_id1", F.to_date("app_dttm").alias("day")))
-    last = strict_backward_asof(t.select("pat_id1", "day"), hist)
+    last = strict_backward_asof(keys, hist)
     out = t.join(last, ["pat_id1", "day"], "left")
     return out.select(
         F.col("ida").alias("IDA"),

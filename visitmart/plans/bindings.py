@@ -217,15 +217,17 @@ class Bound:
     def visits(self) -> DataFrame:
         p = self.table("part")
         s = self.table("supplier")
-        names = self._customer_names().select("pat_id1", "pat_name")
+        # The patient key is taken from the order, so a patient filter on
+        # the view (semi-join, IN list) can be pushed to the orders side.
+        names = self._customer_names().select(F.col("pat_id1").alias("c_key"), "pat_name")
         j = (self._order_lines()
              .join(p, F.col("l_partkey") == p.p_partkey)
              .join(s, F.col("l_suppkey") == s.s_suppkey)
-             .join(names, F.col("o_custkey") == names.pat_id1))
+             .join(names, F.col("o_custkey") == names.c_key))
         return j.select(
-            "pat_id1",
+            j.o_custkey.alias("pat_id1"),
             j.pat_name.alias("patient_name"),
-            _pad(j.pat_id1, 9).alias("pat_mrn"),
+            _pad(j.o_custkey, 9).alias("pat_mrn"),
             F.date_format(j.o_orderdate, "yyyyMMdd").alias("appt_dt"),
             F.to_date(j.o_orderdate).alias("appt_date"),
             j.p_type.alias("actv_code"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 ENGINE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of intermediates are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -71,10 +74,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage of a reused intermediate with a reliable checkpoint.
+    """Write a reused intermediate as a table in the shared checkpoint
+    folder and read it back: the Spark form of ``SELECT ... INTO #temp``.
 
-    The data is written to the shared checkpoint folder, so a lost executor
-    costs a re-read, not a recomputation of the whole upstream plan.
+    Lineage is cut, so a lost executor costs a re-read of the table, not a
+    recomputation of the upstream plan. (``Dataset.checkpoint`` would run the
+    upstream plan twice, once to count and once to write.) Each call gets a
+    fresh folder; nothing is overwritten while being read.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/visitmart-tmp/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -65,7 +65,11 @@ class Bound:
     sf_dir: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The table as a lazy DataFrame; listed and its footer read once."""
+        cache = self.__dict__.setdefault("_tables", {})
+        if name not in cache:
+            cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return cache[name]
 
     # -- fixed-domain lookups ------------------------------------------------
     @cached_property

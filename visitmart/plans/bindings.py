@@ -34,6 +34,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..model import schema_of
+
+_TABLES: dict[tuple, DataFrame] = {}
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -65,11 +69,21 @@ class Bound:
     sf_dir: str
 
     def table(self, name: str) -> DataFrame:
-        """The table as a lazy DataFrame; listed and its footer read once."""
-        cache = self.__dict__.setdefault("_tables", {})
-        if name not in cache:
-            cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return cache[name]
+        """The table as a lazy DataFrame, read with its declared schema.
+
+        One handle per (session, table) is kept, as a long-running
+        application keeps its catalog: later queries do not list the files
+        again. The tables are immutable inputs.
+        """
+        key = (id(self.spark), self.sf_dir, name)
+        df = _TABLES.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            reader = self.spark.read
+            ddl = schema_of(name)
+            if ddl:
+                reader = reader.schema(ddl)
+            df = _TABLES[key] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return df
 
     # -- fixed-domain lookups ------------------------------------------------
     @cached_property

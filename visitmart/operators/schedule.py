@@ -321,3 +321,32 @@ def clinic_last_visit(vw_patient: DataFrame, vw_schedule: DataFrame, schedule: D
         F.col("app_dttm").alias("App_DtTm"),
         F.col("last_day").alias("Last_Appt"),
     ).distinct().orderBy("App_DtTm", "PAT_NAME")
+
+
+# -- R1 and A2/A3 on their own -------------------------------------------------
+
+def resolved_providers(vw_schedule: DataFrame, staff: DataFrame, as_of, infusion_prefix: str,
+                       days: int = 14) -> DataFrame:
+    """R1 over every appointment in [today, today + days]: the provider a
+    list would show (attending for infusion resources and unstaffed slots)."""
+    att = staff.select(F.col("staff_id").alias("attending_md_id"),
+                       F.col("last_name").alias("att_last"), F.col("first_name").alias("att_first"))
+    s = (vw_schedule.filter(day_window_inclusive("app_dttm", as_of, days))
+                    .join(att, "attending_md_id", "left"))
+    return s.select(F.col("ida").alias("mrn"), F.col("app_dttm").alias("app_dttm"),
+                    F.col("stf_last_name").alias("scheduled_staff"),
+                    provider_resolution(infusion_prefix).alias("provider")).distinct()
+
+
+def edit_minimums(schedule: DataFrame, as_of, include_last_day: bool = False) -> DataFrame:
+    """A2 vs A3 per patient and appointment day this month: the minimum of
+    the ``MM/dd/yyyy`` edit texts next to the text of the true earliest edit,
+    and whether they differ (they do whenever edits span a year end or
+    months out of text order)."""
+    g = (schedule.filter(month_to_date("app_dttm", as_of, include_last_day))
+                 .groupBy("pat_id1", F.to_date("app_dttm").alias("appt_day"))
+                 .agg(F.min(fmt_mdy("edit_dttm")).alias("edit_text_min"),
+                      F.min("edit_dttm").alias("min_edit")))
+    true_min = fmt_mdy("min_edit")
+    return g.select("pat_id1", "appt_day", "edit_text_min", true_min.alias("edit_true_min"),
+                    F.when(F.col("edit_text_min") == true_min, F.lit("N")).otherwise(F.lit("Y")).alias("differs"))

@@ -122,3 +122,17 @@ def test_age_years(spark):
 def test_parse_compact_day(spark):
     out = _one(spark, timewin.parse_compact_day("v"), "v string", ["20220816", "2022-08-16", None])
     assert out == [d(2022, 8, 16), None, None]
+
+
+def test_windows_do_not_depend_on_session_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Denver")
+    try:
+        now = ts(2024, 1, 10, 15, 0)
+        vals = [ts(2024, 1, 9, 23, 59, 59), ts(2024, 1, 10, 0, 0), ts(2024, 1, 24, 23, 59), ts(2024, 1, 25, 0, 0)]
+        out = _one(spark, timewin.day_window_inclusive(F.col("v"), now, 14), "v timestamp_ntz", vals)
+        assert out == [False, True, True, False]
+        got = spark.range(1).select(timewin.ts_literal(now).alias("t")).first().t
+        assert got == now
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)

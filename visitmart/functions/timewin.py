@@ -35,9 +35,16 @@ def as_date(value: dt.date | dt.datetime | str) -> dt.date:
     return as_datetime(value).date()
 
 
-def _ts_lit(value: dt.datetime) -> Column:
-    # Wall-clock literal of the same type as the parquet columns.
-    return F.lit(value).cast("timestamp_ntz")
+def ts_literal(value: dt.datetime) -> Column:
+    """Wall-clock literal of the same type as the parquet columns.
+
+    Built from ISO text: a Python ``datetime`` literal would pass through the
+    Python process's zone and then the session's, which need not agree.
+    """
+    return F.lit(as_datetime(value).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+_ts_lit = ts_literal
 
 
 def _midnight(d: dt.date) -> dt.datetime:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_ci, eq_ci, fold, fold_literal, non_blank
-from ..functions.timewin import as_datetime
+from ..functions.timewin import ts_literal
 
 COHORT_COLUMNS = ("patient_name", "pat_id1", "earliest_diag_date", "appt_dt", "pat_mrn", "np_ind")
 
@@ -150,7 +150,7 @@ def mailing_list(cohort: DataFrame, admin: DataFrame, patient: DataFrame, ident:
         F.col("pat_email").alias("Pat_EMail"), F.col("pat_cellphone").alias("Pat_CellPhone"),
         "LanguageSpoken", F.col("gender").alias("Gender"), F.col("salutation").alias("Salutation"),
         F.col("pat_mrn").alias("MRN"), "np_ind", "pat_id1",
-        F.lit(as_datetime(as_of)).cast("timestamp_ntz").alias("Extract_Date"),
+        ts_literal(as_of).alias("Extract_Date"),
     ).distinct()
 
 

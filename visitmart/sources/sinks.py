@@ -4,7 +4,7 @@
   the query made them (the query already quoted free text), header first.
 * ``refresh`` replaces a datamart without the source's "truncate, then
   insert" gap: every run writes a new ``version=<id>`` directory under the
-  target, and only after the write has succeeded does the pointer move.
+  target, and only after the write has succeeded is the version logged.
   A failed run leaves the previous version current; readers of the old
   version are never cut off, and a table is never overwritten while it is
   being read.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-POINTER = "_current"
+VERSION_LOG = "_versions"
 
 
 def scratch_dir(spark: SparkSession, *parts: str) -> str:
@@ -60,17 +60,23 @@ def new_version() -> str:
 
 
 def refresh(df: DataFrame, target: str, version: str | None = None) -> str:
-    """J9/J21 full refresh: write a new version, then make it current."""
+    """J9/J21 full refresh: write a new version, then log it as committed.
+
+    The version log only ever grows by appended files, each committed by its
+    own job, so a run that dies at any point leaves the previous version
+    current. Version ids sort by time.
+    """
     spark = df.sparkSession
     version = version or new_version()
     df.write.mode("errorifexists").parquet(f"{target}/version={version}")
     (spark.createDataFrame([(version,)], "version string")
-          .coalesce(1).write.mode("overwrite").text(f"{target}/{POINTER}"))
+          .coalesce(1).write.mode("append").parquet(f"{target}/{VERSION_LOG}"))
     return version
 
 
 def current_version(spark: SparkSession, target: str) -> str:
-    return spark.read.text(f"{target}/{POINTER}").first()[0]
+    """The newest committed version (one small aggregate over the log)."""
+    return spark.read.parquet(f"{target}/{VERSION_LOG}").agg(F.max("version")).first()[0]
 
 
 def read_current(spark: SparkSession, target: str) -> DataFrame:

@@ -299,14 +299,18 @@ def infusions(vw_schedule: DataFrame, staff: DataFrame, ident: DataFrame, as_of,
 # -- J18 ---------------------------------------------------------------------
 
 def clinic_last_visit(vw_patient: DataFrame, vw_schedule: DataFrame, schedule: DataFrame, as_of,
-                      location_id, completed_statuses, days: int = 14) -> DataFrame:
+                      location_id, completed_statuses, days: int = 14, keep=lambda df: df) -> DataFrame:
     """Patients at one location in [today, today+days) with the day of
-    their latest completed current visit on an earlier day."""
-    t = (vw_schedule.filter(day_window_half_open("app_dttm", as_of, days)
-                            & (F.col("location_id") == F.lit(location_id)))
-                    .select("pat_id1", "pat_name", "app_dttm")
-                    .join(vw_patient.select("pat_id1", "ida", "birth_dttm"), "pat_id1")
-                    .withColumn("day", F.to_date("app_dttm")))
+    their latest completed current visit on an earlier day.
+
+    The listed appointments feed the output, the as-of keys and the history
+    cut; ``keep`` (a temp table in production) computes them once.
+    """
+    t = keep(vw_schedule.filter(day_window_half_open("app_dttm", as_of, days)
+                                & (F.col("location_id") == F.lit(location_id)))
+                        .select("pat_id1", "pat_name", "app_dttm")
+                        .join(vw_patient.select("pat_id1", "ida", "birth_dttm"), "pat_id1")
+                        .withColumn("day", F.to_date("app_dttm")))
     keys = t.select("pat_id1", "day")
     # History of the listed patients only, cut before it is deduplicated.
     hist = (schedule.filter((F.col("version") == 0) & in_ci("schstatus_hist_sd", completed_statuses))

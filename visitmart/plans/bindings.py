@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from ..model import schema_of
 
 _TABLES: dict[tuple, DataFrame] = {}
+_BOUND: dict[tuple, "Bound"] = {}
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -68,6 +69,19 @@ class Bound:
     spark: SparkSession
     sf_dir: str
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Bound":
+        """The views of one directory, defined once per session.
+
+        The views are lazy, immutable DataFrames, so queries share them the
+        way an application shares the views of its catalog.
+        """
+        key = (id(spark), sf_dir)
+        b = _BOUND.get(key)
+        if b is None or b.spark is not spark:
+            b = _BOUND[key] = cls(spark, sf_dir)
+        return b
+
     def table(self, name: str) -> DataFrame:
         """The table as a lazy DataFrame, read with its declared schema.
 

@@ -104,7 +104,7 @@ def q_clinic_list_load(spark, d):
 
 
 def q_quotename_export(spark, d):
-    docs = Bound(spark, d).table("documents")
+    docs = Bound.of(spark, d).table("documents")
     return docs.select("doc_id", quote_name("text").alias("quoted_text"))
 
 

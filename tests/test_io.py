@@ -27,7 +27,7 @@ def test_mysql_formats():
 
 
 def test_load_csv_preamble_quotes_and_rejects(spark, tmp_dir):
-    three = ["Changed database context to 'Mosaiq'.", "PATIENT,MRN,EDIT DATE,APPT", "-------,---,---------,----",
+    three = ["Changed database context to 'clinic'.", "PATIENT,MRN,EDIT DATE,APPT", "-------,---,---------,----",
              '"DOE, ""JJ""",001,1/5/2024,2024-01-20 09:00:00',
              'caf\xe9 \x93q\x94,002,12/30/2023 10:00,2024-01-20 09:00:00.000',   # latin1, trailing text
              "NULL,003,bad,2024-01-20 09:00:00",                                  # bad date -> reject

@@ -51,22 +51,22 @@ def _bump_inputs(spark):
     ], SCH)
     patient = spark.createDataFrame([(7, 'DOE, "JJ"'), (8, "ROE, AL")], "pat_id1 long, pat_name string")
     ident = spark.createDataFrame([(7, "M,7"), (8, "M8")], "pat_id1 long, ida string")
-    staff = spark.createDataFrame([(99, "Reschedule MO", None), (98, "Clinic", None), (5, "Smith", "Ann ")],
+    staff = spark.createDataFrame([(99, "Reschedule Desk", None), (98, "Clinic", None), (5, "Smith", "Ann ")],
                                   "staff_id long, last_name string, first_name string")
     return sch, patient, ident, staff
 
 
 def test_bumps_literal_vs_chrono(spark):
     sch, patient, ident, staff = _bump_inputs(spark)
-    lit = schedule.bumps(sch, patient, ident, staff, "reschedule mo", ts(2024, 1, 10))
-    chrono = schedule.bumps(sch, patient, ident, staff, "reschedule mo", ts(2024, 1, 10), literal_min=False)
+    lit = schedule.bumps(sch, patient, ident, staff, "reschedule desk", ts(2024, 1, 10))
+    chrono = schedule.bumps(sch, patient, ident, staff, "reschedule desk", ts(2024, 1, 10), literal_min=False)
     got = rows(lit, "PATIENT", "MRN", "ACTIVITY", "PROVIDER", "EDIT_DATE", "APPT_DATE", "CALCULATED_DAYS")
     assert got == [
         ('"DOE, ""JJ"""', "M 7", "Chemo  IV", '"Ann Smith"', "01/05/2024", "01/20/2024", 21),
         ('"ROE, AL"', "M8", "Lab", '" "', "01/03/2024", "01/31/2024", 28),
     ]
     assert rows(chrono, "EDIT_DATE") == [("01/03/2024",), ("12/30/2023",)]
-    last = schedule.bumps(sch, patient, ident, staff, "reschedule mo", ts(2024, 1, 10), include_last_day=True)
+    last = schedule.bumps(sch, patient, ident, staff, "reschedule desk", ts(2024, 1, 10), include_last_day=True)
     assert last.count() == 3
 
 
@@ -95,19 +95,19 @@ def test_infusions_windows(spark):
     vw = spark.createDataFrame([
         (1, 1, "P1", now, now - F_hours(2), "Hydration", "x", "Infusion 1", 5, "Infusion"),
         (2, 1, "P1", ts(2024, 1, 16, 18, 0), now - F_hours(30), "Hydration", "x", "L", 5, "Infusion"),  # created too early
-        (3, 1, "P1", ts(2024, 1, 16, 19, 0), now - F_hours(1), "Injection", "x", "L", 5, "INFUSION"),
-        (4, 1, "P1", ts(2024, 1, 12, 18, 0), now - F_hours(1), "NOTE", "x", "L", 5, "Infusion"),
+        (3, 1, "P1", ts(2024, 1, 16, 19, 0), now - F_hours(1), "Flush", "x", "L", 5, "INFUSION"),
+        (4, 1, "P1", ts(2024, 1, 12, 18, 0), now - F_hours(1), "MEMO", "x", "L", 5, "Infusion"),
         (5, 1, "P1", ts(2024, 1, 12, 18, 0), now - F_hours(1), "Hydration", "x", "L", 6, "Infusion"),  # staff unknown
     ], "sch_id long, pat_id1 long, pat_name string, app_dttm timestamp_ntz, create_dttm timestamp_ntz, "
        "activity string, short_desc string, location_name string, staff_id long, stf_last_name string")
     staff = spark.createDataFrame([(5,)], "staff_id long")
     ident = spark.createDataFrame([(1, "M1")], "pat_id1 long, ida string")
-    excl = (" Injection", "NOTE")
+    excl = (" Flush", "MEMO")
     addon = schedule.infusions(vw, staff, ident, now, "infusion", excl, 0, 6, True, 1)
     day7 = schedule.infusions(vw, staff, ident, now, "infusion", excl, 6, 7, False, None)
     assert rows(addon, "App_DtTm") == [(now,)]
-    # 'Injection' is not excluded by ' Injection'
-    assert rows(day7, "App_DtTm", "Activity") == [(ts(2024, 1, 16, 19, 0), "Injection")]
+    # 'Flush' is not excluded by ' Flush'
+    assert rows(day7, "App_DtTm", "Activity") == [(ts(2024, 1, 16, 19, 0), "Flush")]
 
 
 def F_hours(h):

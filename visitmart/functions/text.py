@@ -99,7 +99,7 @@ def not_in_ci(x: ColumnOrName, values: Iterable[str]) -> Column:
     """P7 ``x NOT IN (...)``: NULL input is dropped, as in SQL.
 
     A list entry with a leading blank does not match the unblanked code,
-    the same as the source (`' Injection'` never excludes `'Injection'`).
+    the same as the source (`' Flush'` never excludes `'Flush'`).
     """
     vals = [fold_literal(v) for v in values]
     c = fold(x)

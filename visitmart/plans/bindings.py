@@ -42,9 +42,10 @@ _BOUND: dict[tuple, "Bound"] = {}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Fixed values of the bindings (not taken from the source scripts).
-PHYSICIAN_TYPES = ("ECONOMY", "PROMO", "STANDARD")   # part types bucketed as physician visits
+# Fixed values. PHYSICIAN_BUCKET is the activity-bucket name the two-week
+# outreach list selects on; the other values are choices of this binding.
 PHYSICIAN_BUCKET = "Physician/APP"
+PHYSICIAN_TYPES = ("ECONOMY", "PROMO", "STANDARD")   # part types bucketed as physician visits
 OTHER_BUCKET = "Support"
 DEATH_MARK = "D"
 REFERRAL_NATION_LIMIT = 20

@@ -4,7 +4,7 @@ Each one runs an extract, writes it the way the extract tool does, loads it
 with the matching loader spec and returns what the target table holds:
 
 * ``datamart_refresh`` (J9): coverage datamart refreshed twice; current version.
-* ``csv_full_refresh`` (J21): reschedule bumps -> CSV -> ``mobumps`` loader
+* ``csv_full_refresh`` (J21): reschedule bumps -> CSV -> bumps loader
   (``%m/%d/%Y`` dates, quoted names) -> full refresh.
 * ``infusion_append`` (J22): add-on and day-7 infusion extracts -> CSV ->
   one loader that keeps 5 of the 6 fields -> two appends into one table.
@@ -33,22 +33,25 @@ from . import catalog
 from .bindings import Bound
 from .export import export_view
 
-# -- loader specs (column lists of the loaders; formats as the loaders give) --
+# -- loader specs ------------------------------------------------------------
+# Each loader's field order and its STR_TO_DATE formats, as the
+# loaders state them (bumps: %m/%d/%Y; infusions and clinic list:
+# %Y-%m-%d %H:%i:%s and %Y-%m-%d). Field names are ours.
 
-MOBUMPS = LoadSpec(
+BUMPS_LOAD = LoadSpec(
     fields=("pat_name", "mrn", "activity", "provider", "ed", "ad", "calculatedays"),
     target=("pat_name", "mrn", "activity", "provider", "editDate", "apptDate", "calculatedays"),
     dates={"editDate": ("ed", "%m/%d/%Y"), "apptDate": ("ad", "%m/%d/%Y")},
     types={"calculatedays": "bigint"},
     header=("PATIENT", "MRN", "ACTIVITY", "PROVIDER", "EDIT_DATE", "APPT_DATE", "CALCULATED_DAYS"))
 
-INFUSION_MNGMNT = LoadSpec(
+INFUSION_LOAD = LoadSpec(
     fields=("ad", "pat_name", "MRN", "Location", "activity"),
     target=("appt_dttm", "pat_name", "MRN", "Location", "activity"),
     dates={"appt_dttm": ("ad", "%Y-%m-%d %H:%i:%s")},
     header=("App_DtTm", "PAT_NAME", "MRN", "Location", "Activity"))
 
-SFPATS = LoadSpec(
+CLINIC_LIST_LOAD = LoadSpec(
     fields=("mrn", "dob", "pat_last", "pat_first", "adate", "ladate"),
     target=("mrn", "birth_date", "pat_last", "pat_first", "app_dttm", "lastapp_dt"),
     dates={"birth_date": ("dob", "%Y-%m-%d"), "app_dttm": ("adate", "%Y-%m-%d %H:%i:%s"),
@@ -67,9 +70,9 @@ def q_datamart_refresh(spark: SparkSession, d: str) -> DataFrame:
 def q_csv_full_refresh(spark, d):
     root = scratch_dir(spark, "csv_full_refresh")
     export_csv(catalog.q_bumps_literal(spark, d), f"{root}/extract")
-    loaded = load_csv(spark, f"{root}/extract", MOBUMPS)
-    refresh(loaded.rows, f"{root}/mobumps")
-    return export_view(read_current(spark, f"{root}/mobumps"))
+    loaded = load_csv(spark, f"{root}/extract", BUMPS_LOAD)
+    refresh(loaded.rows, f"{root}/bumps_table")
+    return export_view(read_current(spark, f"{root}/bumps_table"))
 
 
 def _infusion_extracts(spark, d, root):
@@ -80,27 +83,27 @@ def _infusion_extracts(spark, d, root):
 
 def q_infusion_append(spark, d):
     root = scratch_dir(spark, "infusion_append")
-    target = f"{root}/infusion_mngmnt"
+    target = f"{root}/infusion_table"
     for path in _infusion_extracts(spark, d, root):
-        append(load_csv(spark, path, INFUSION_MNGMNT).rows, target)
+        append(load_csv(spark, path, INFUSION_LOAD).rows, target)
     return export_view(read_table(spark, target))
 
 
 def q_infusion_stream_append(spark, d):
     root = scratch_dir(spark, "infusion_stream_append")
     _infusion_extracts(spark, d, root)
-    target, ckpt = f"{root}/infusion_mngmnt", f"{root}/_stream_checkpoint"
-    stream_append(spark, f"{root}/landing", INFUSION_MNGMNT, target, ckpt)
-    stream_append(spark, f"{root}/landing", INFUSION_MNGMNT, target, ckpt)   # nothing new: no-op
+    target, ckpt = f"{root}/infusion_table", f"{root}/_stream_checkpoint"
+    stream_append(spark, f"{root}/landing", INFUSION_LOAD, target, ckpt)
+    stream_append(spark, f"{root}/landing", INFUSION_LOAD, target, ckpt)   # nothing new: no-op
     return export_view(read_table(spark, target))
 
 
 def q_clinic_list_load(spark, d):
     root = scratch_dir(spark, "clinic_list_load")
     export_csv(catalog.q_clinic_last_visit(spark, d), f"{root}/extract")
-    loaded = load_csv(spark, f"{root}/extract", SFPATS)
-    refresh(loaded.rows, f"{root}/sfpats")
-    return export_view(read_current(spark, f"{root}/sfpats"))
+    loaded = load_csv(spark, f"{root}/extract", CLINIC_LIST_LOAD)
+    refresh(loaded.rows, f"{root}/clinic_list_table")
+    return export_view(read_current(spark, f"{root}/clinic_list_table"))
 
 
 def q_quotename_export(spark, d):
@@ -130,7 +133,7 @@ def _sub(sql: str) -> str:
     return f"(\n{sql}\n)"
 
 
-_MOBUMPS_SQL = f"""
+_BUMPS_LOAD_SQL = f"""
 SELECT {_unquote('PATIENT')} AS pat_name, MRN AS mrn, ACTIVITY AS activity, {_unquote('PROVIDER')} AS provider,
        strftime(strptime(EDIT_DATE, '%m/%d/%Y'), '%Y-%m-%d') AS editDate,
        strftime(strptime(APPT_DATE, '%m/%d/%Y'), '%Y-%m-%d') AS apptDate,
@@ -149,7 +152,7 @@ def _infusion_rows(name: str) -> str:
 
 _APPEND_SQL = _infusion_rows("infusions_next6") + "\nUNION ALL\n" + _infusion_rows("infusions_day7")
 
-_SFPATS_SQL = f"""
+_CLINIC_LIST_LOAD_SQL = f"""
 SELECT IDA AS mrn, substr(BIRTH_DTTM, 1, 10) AS birth_date,
        split_part(PAT_NAME, ',', 1) AS pat_last,
        NULLIF(substr(PAT_NAME, strpos(PAT_NAME, ',') + 1), '') AS pat_first,
@@ -162,9 +165,9 @@ FROM documents"""
 
 IO_SQL = {
     "datamart_refresh": catalog.SQL["visit_vitals_drugs"],
-    "csv_full_refresh": _MOBUMPS_SQL,
+    "csv_full_refresh": _BUMPS_LOAD_SQL,
     "infusion_append": _APPEND_SQL,
     "infusion_stream_append": _APPEND_SQL,
-    "clinic_list_load": _SFPATS_SQL,
+    "clinic_list_load": _CLINIC_LIST_LOAD_SQL,
     "quotename_export": _QUOTENAME_SQL,
 }

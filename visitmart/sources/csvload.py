@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+# Fixed value: the first words of the extract tool's database-context line.
 CONTEXT_PREFIX = "changed database context"
 
 # MySQL STR_TO_DATE token -> (lenient regex, Spark datetime pattern letter).

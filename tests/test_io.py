@@ -90,3 +90,10 @@ def test_stream_append_exactly_once(spark, tmp_dir):
     _write(f"{land}/day2/b.csv", ["B,2,01/06/2024,2024-01-21 09:00:00"], "\n")
     stream_append(spark, land, SPEC, tgt, ck)
     assert rows(spark.read.parquet(tgt), "pat_name") == [("A",), ("B",)]
+
+
+def test_multiline_quoted_field(spark, tmp_dir):
+    from dataclasses import replace
+    _write(f"{tmp_dir}/m/a.csv", ['PATIENT,MRN,EDIT DATE,APPT', '"DOE,\nJO",7,01/05/2024,2024-01-20 09:00:00'], "\r\n")
+    out = load_csv(spark, f"{tmp_dir}/m", replace(SPEC, multiline=True)).rows
+    assert rows(out, "pat_name", "mrn", "editDate") == [("DOE,\nJO", "7", d(2024, 1, 5))]

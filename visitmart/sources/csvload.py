@@ -59,6 +59,10 @@ class LoadSpec:
     types: dict = field(default_factory=dict)   # target column -> Spark type
     charset: str = "ISO-8859-1"
     null_value: str = "NULL"
+    # Quoted fields may hold line breaks (the loader accepts them inside
+    # enclosed fields). Spark then reads each file in one task, so it is off
+    # unless the extract can contain them.
+    multiline: bool = False
 
 
 @dataclass
@@ -115,6 +119,7 @@ def read_fields(spark: SparkSession, path: str, spec: LoadSpec) -> DataFrame:
             .option("encoding", spec.charset)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", str(spec.multiline).lower())
             .csv(path))
 
 

@@ -33,6 +33,7 @@ def stream_append(spark: SparkSession, landing: str, spec: LoadSpec, target: str
            .option("encoding", spec.charset)
            .option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT)
+           .option("multiLine", str(spec.multiline).lower())
            .option("maxFilesPerTrigger", files_per_batch)
            .option("recursiveFileLookup", "true")
            .csv(landing))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.text import (comma_to_space, contains_ci, eq_ci, fold, fold_literal, in_ci,
                               not_in_ci, quote_name, startswith_ci)
 from ..functions.timewin import (age_years, as_date, as_datetime, day_diff, day_window_half_open, ts_literal,
-                                 day_window_inclusive, fmt_iso_day, fmt_mdy, month_to_date,
+                                 day_window_inclusive, fmt_mdy, month_to_date,
                                  on_or_after_day, rolling_window)
 from .asof import strict_backward_asof
 

@@ -23,7 +23,6 @@ the CSV round trip removes the quotes that QUOTENAME added.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.text import quote_name
 from ..sources.csvload import LoadSpec, load_csv

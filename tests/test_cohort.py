@@ -37,12 +37,23 @@ def chain(spark):
         visit(9, d(2022, 6, 2), "np"),
     ], VIS)
     earliest = cohort.first_event_cohort(diag, "C50.001", "C50.929", d(2022, 1, 1), d(2022, 8, 22))
-    first_day = cohort.first_day_visits(cohort.cohort_visits(visits, earliest))
+    summary = cohort.cohort_visit_summary(visits, earliest, d(2022, 1, 1), d(2022, 8, 22))
+    first_day = cohort.first_day_visits(summary)
     np_ = cohort.new_patient_cohort(first_day, "np")
     nd = cohort.existing_patient_cohort(first_day, "np", np_)
     return diag, visits, earliest, np_, nd
 
 
+def test_summary_counts_match_row_counts(spark, chain):
+    diag, visits, earliest, _, nd = chain
+    summary = cohort.cohort_visit_summary(visits, earliest, d(2022, 1, 1), d(2022, 8, 22))
+    counts = dict(rows(cohort.window_visit_counts(summary)))
+    assert counts == {1: 1, 3: 2, 4: 2, 5: 2, 6: 2, 8: 1, 9: 1}
+    direct = cohort.single_visit_patients(nd, visits, d(2022, 1, 1), d(2022, 8, 22))
+    via = cohort.single_visits_from_counts(nd, cohort.window_visit_counts(summary))
+    assert rows(direct) == rows(via)
+
+
 def test_first_event_min_over_all_history(chain):
     _, _, earliest, _, _ = chain
     assert rows(earliest, "pat_id1") == [(1,), (3,), (4,), (5,), (6,), (8,), (9,)]

@@ -43,32 +43,45 @@ def first_event_cohort(diagnoses: DataFrame, code_lo: str, code_hi: str,
     return first.filter(F.col("earliest_diag_date").between(F.lit(first_from), F.lit(first_to)))
 
 
-COHORT_VISIT_COLUMNS = ("pat_id1", "earliest_diag_date", "appt_date", "appt_dt", "patient_name",
-                        "pat_mrn", "actv_code")
-
+def cohort_visit_summary(visits: DataFrame, earliest: DataFrame, visit_from: dt.date,
+                         visit_to: dt.date) -> DataFrame:
+    """One pass over the cohort's visits, reduced to what J2-J4 read.
+
+    J2/J3 read the visit rows on each patient's first-event day; J4 reads
+    how many visits each patient has in the single-visit window. The visit
+    fact is joined to the cohort once and aggregated (partially, before the
+    shuffle) to one row per distinct first-day visit plus one row per
+    patient for the other days, each carrying its count of in-window
+    visits. The result grows with the cohort, not with its visit history.
+    """
+    first = F.col("appt_date") == F.col("earliest_diag_date")
 
-def cohort_visits(visits: DataFrame, earliest: DataFrame) -> DataFrame:
-    """Visits of cohort patients only, each carrying its patient's first day.
+    def on_first(c: str):
+        return F.when(first, F.col(c)).alias(c)
 
-    J2-J4 read visits of J1 patients or of a subset of them, so the visit
-    fact is joined to the cohort once, keeping only the columns they read;
-    the first-event day rides along, which turns J2/J3's same-day join into
-    a filter.
-    """
-    return visits.join(earliest, "pat_id1").select(*COHORT_VISIT_COLUMNS)
+    in_window = F.col("appt_date").between(F.lit(visit_from), F.lit(visit_to))
+    return (visits.join(earliest, "pat_id1")
+                  .groupBy("pat_id1", "earliest_diag_date", first.alias("is_first"),
+                           on_first("appt_dt"), on_first("patient_name"), on_first("pat_mrn"),
+                           on_first("actv_code"))
+                  .agg(F.sum(F.when(in_window, 1).otherwise(0)).cast("bigint").alias("n_window")))
 
 
-def first_day_visits(visits: DataFrame) -> DataFrame:
-    """Cohort visits on the patient's first-event day (shared by J2 and J3).
+def first_day_visits(summary: DataFrame) -> DataFrame:
+    """Distinct cohort visits on the patient's first-event day (shared by J2 and J3).
 
-    ``visits`` comes from ``cohort_visits``. The source's join on (patient,
-    day) is a filter here: no shuffle, and a patient with many visits is
-    never gathered into one task.
+    ``summary`` comes from ``cohort_visit_summary``. The source's join on
+    (patient, day) is a filter here: no shuffle, and a patient with many
+    visits is never gathered into one task.
     """
-    return (visits.filter(F.col("actv_code").isNotNull()
-                          & (F.col("appt_date") == F.col("earliest_diag_date")))
-                  .select("pat_id1", "earliest_diag_date", "appt_dt", "patient_name", "pat_mrn",
-                          "actv_code"))
+    return (summary.filter(F.col("is_first") & F.col("actv_code").isNotNull())
+                   .select("pat_id1", "earliest_diag_date", "appt_dt", "patient_name", "pat_mrn",
+                           "actv_code"))
+
+
+def window_visit_counts(summary: DataFrame) -> DataFrame:
+    """Visits per cohort patient in the single-visit window (J4's second factor)."""
+    return summary.groupBy("pat_id1").agg(F.sum("n_window").alias("n_visits"))
 
 
 def new_patient_cohort(first_day: DataFrame, new_code: str) -> DataFrame:
@@ -88,21 +101,27 @@ def existing_patient_cohort(first_day: DataFrame, new_code: str, new_patients: D
     return j.select(*COHORT_COLUMNS[:-1], F.lit("N").alias("np_ind")).distinct()
 
 
-def single_visit_patients(existing: DataFrame, visits: DataFrame,
-                          visit_from: dt.date, visit_to: dt.date) -> DataFrame:
-    """Patients of J3 with exactly one (cohort row x visit) pair in the window.
+def single_visits_from_counts(existing: DataFrame, visit_counts: DataFrame) -> DataFrame:
+    """J4 from per-patient in-window visit counts (``pat_id1``, ``n_visits``).
 
-    The pair count is ``cohort rows x visits`` per patient; both factors are
-    aggregated before the join, so the pairs are never materialised.
+    The source counts (cohort row x visit) pairs per patient; that count is
+    ``cohort rows x visits``, and both factors are aggregated before the
+    join, so the pairs are never materialised.
     """
     rows = existing.groupBy("pat_id1").agg(F.count(F.lit(1)).alias("n_rows"))
-    seen = (visits.filter(F.col("appt_date").between(F.lit(visit_from), F.lit(visit_to)))
-                  .groupBy("pat_id1").agg(F.count(F.lit(1)).alias("n_visits")))
-    pairs = rows.join(seen, "pat_id1")
+    pairs = rows.join(visit_counts, "pat_id1")
     return (pairs.select("pat_id1", (F.col("n_rows") * F.col("n_visits")).alias("numb_times"))
                  .filter(F.col("numb_times") == 1))
 
 
+def single_visit_patients(existing: DataFrame, visits: DataFrame,
+                          visit_from: dt.date, visit_to: dt.date) -> DataFrame:
+    """Patients of J3 with exactly one (cohort row x visit) pair in the window."""
+    seen = (visits.filter(F.col("appt_date").between(F.lit(visit_from), F.lit(visit_to)))
+                  .groupBy("pat_id1").agg(F.count(F.lit(1)).alias("n_visits")))
+    return single_visits_from_counts(existing, seen)
+
+
 def single_visit_review(visits: DataFrame, single: DataFrame) -> DataFrame:
     """Every visit of the J4 patients, ordered by name and day."""
     return (visits.join(single.select("pat_id1"), "pat_id1", "left_semi")
@@ -162,18 +181,18 @@ class MailingProcedure:
     """The mailing procedure as one object: its temp tables are the steps.
 
     Steps are lazy. The one intermediate that several steps read, the
-    cohort's visits (the columns J2-J4 read, with each patient's first-event
-    day), goes through
-    ``keep``: normally a table written to the cluster's shared checkpoint
-    folder, as the source materialises its temp tables. Spark plans are
-    trees, so without it every reader would recompute the visit join from
-    the fact tables; with it the join runs once, and a lost executor costs a
-    re-read, not a recomputation. Everything after it is small.
+    cohort's visit summary (first-day visits and in-window counts), goes
+    through ``keep``: normally a table written to the cluster's shared
+    checkpoint folder, as the source materialises its temp tables. Spark
+    plans are trees, so without it every reader would recompute the visit
+    join from the fact tables; with it the join runs once, and a lost
+    executor costs a re-read, not a recomputation. Everything after it is
+    small.
     """
 
     def __init__(self, diagnoses: DataFrame, visits: DataFrame, params, keep=_same):
         self._diagnoses, self._all_visits, self.p, self._keep = diagnoses, visits, params, keep
-        self._visits: DataFrame | None = None
+        self._summary: DataFrame | None = None
 
     @property
     def earliest(self) -> DataFrame:
@@ -181,14 +200,16 @@ class MailingProcedure:
         return first_event_cohort(self._diagnoses, p.code_lo, p.code_hi, p.first_from, p.first_to)
 
     @property
-    def visits(self) -> DataFrame:
-        if self._visits is None:
-            self._visits = self._keep(cohort_visits(self._all_visits, self.earliest))
-        return self._visits
+    def summary(self) -> DataFrame:
+        if self._summary is None:
+            p = self.p
+            self._summary = self._keep(cohort_visit_summary(self._all_visits, self.earliest,
+                                                            p.visit_from, p.visit_to))
+        return self._summary
 
     @property
     def first_day(self) -> DataFrame:
-        return first_day_visits(self.visits)
+        return first_day_visits(self.summary)
 
     @property
     def new_patients(self) -> DataFrame:
@@ -200,7 +221,7 @@ class MailingProcedure:
 
     @property
     def single(self) -> DataFrame:
-        return single_visit_patients(self.existing, self.visits, self.p.visit_from, self.p.visit_to)
+        return single_visits_from_counts(self.existing, window_visit_counts(self.summary))
 
     @property
     def review(self) -> DataFrame:

@@ -69,7 +69,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if not path:
         path = fallback or tempfile.mkdtemp(prefix="visitmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:      # each call would add a new sub-folder
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -58,6 +58,23 @@ CLINIC_LIST_LOAD = LoadSpec(
     header=("IDA", "BIRTH_DTTM", "PAT_NAME", "App_DtTm", "Last_Appt"))
 
 
+VOLUMES_LOAD = LoadSpec(
+    fields=("mrn", "dob", "patname", "adate", "is_telemed", "provider", "activity", "status", "fy",
+            "zip", "race", "ethnicity", "referringMd", "referringFac"),
+    target=("mrn", "dob", "patname", "apptdate", "is_telemed", "provider", "activity", "status", "fy",
+            "zip", "race", "ethnicity", "referringMd", "referringFac"),
+    dates={"apptdate": ("adate", "%Y%m%d")},
+    header=("MRN", "DOB", "patient_name", "appt_dt", "is_TeleMed", "Provider", "actv_code_desc",
+            "sch_Status_Prim", "FY", "pat_postal", "Race", "Ethnicity", "ReferringMD", "ReferringFacility"))
+
+MONTHLY_TOTAL_LOAD = LoadSpec(
+    fields=("totalmoappts", "ad"),
+    target=("totalmoappts", "rundate"),
+    dates={"rundate": ("ad", "%Y-%m-%d")},
+    types={"totalmoappts": "bigint"},
+    header=("TotalMoAppts", "runDate"))
+
+
 def q_datamart_refresh(spark: SparkSession, d: str) -> DataFrame:
     target = scratch_dir(spark, "datamart_refresh")
     mart = catalog.q_visit_vitals_drugs(spark, d)
@@ -105,6 +122,20 @@ def q_clinic_list_load(spark, d):
     return export_view(read_current(spark, f"{root}/clinic_list_table"))
 
 
+def q_volumes_load(spark, d):
+    root = scratch_dir(spark, "volumes_load")
+    export_csv(catalog.q_volumes_referral(spark, d), f"{root}/extract")
+    refresh(load_csv(spark, f"{root}/extract", VOLUMES_LOAD).rows, f"{root}/volumes_table")
+    return export_view(read_current(spark, f"{root}/volumes_table"))
+
+
+def q_monthly_total_load(spark, d):
+    root = scratch_dir(spark, "monthly_total_load")
+    export_csv(catalog.q_monthly_appt_total(spark, d), f"{root}/extract")
+    refresh(load_csv(spark, f"{root}/extract", MONTHLY_TOTAL_LOAD).rows, f"{root}/totals_table")
+    return export_view(read_current(spark, f"{root}/totals_table"))
+
+
 def q_quotename_export(spark, d):
     docs = Bound.of(spark, d).table("documents")
     return docs.select("doc_id", quote_name("text").alias("quoted_text"))
@@ -116,6 +147,8 @@ IO_QUERIES = {
     "infusion_append": q_infusion_append,
     "infusion_stream_append": q_infusion_stream_append,
     "clinic_list_load": q_clinic_list_load,
+    "volumes_load": q_volumes_load,
+    "monthly_total_load": q_monthly_total_load,
     "quotename_export": q_quotename_export,
 }
 
@@ -158,6 +191,19 @@ SELECT IDA AS mrn, substr(BIRTH_DTTM, 1, 10) AS birth_date,
        App_DtTm AS app_dttm, Last_Appt AS lastapp_dt
 FROM {_sub(catalog.SQL['clinic_last_visit'])} c"""
 
+_VOLUMES_LOAD_SQL = f"""
+SELECT MRN AS mrn, DOB AS dob, {_unquote('patient_name')} AS patname,
+       strftime(strptime(appt_dt, '%Y%m%d'), '%Y-%m-%d') AS apptdate,
+       is_TeleMed AS is_telemed, NULLIF(Provider, '') AS provider, actv_code_desc AS activity,
+       sch_Status_Prim AS status, CAST(FY AS VARCHAR) AS fy, pat_postal AS zip,
+       NULLIF(Race, '') AS race, NULLIF(Ethnicity, '') AS ethnicity,
+       NULLIF(ReferringMD, '') AS referringMd, NULLIF(ReferringFacility, '') AS referringFac
+FROM {_sub(catalog.SQL['volumes_referral'])} v"""
+
+_MONTHLY_TOTAL_LOAD_SQL = f"""
+SELECT TotalMoAppts AS totalmoappts, runDate AS rundate
+FROM {_sub(catalog.SQL['monthly_appt_total'])} m"""
+
 _QUOTENAME_SQL = """
 SELECT doc_id, CASE WHEN length(text) <= 128 THEN '"' || replace(text, '"', '""') || '"' END AS quoted_text
 FROM documents"""
@@ -168,5 +214,7 @@ IO_SQL = {
     "infusion_append": _APPEND_SQL,
     "infusion_stream_append": _APPEND_SQL,
     "clinic_list_load": _CLINIC_LIST_LOAD_SQL,
+    "volumes_load": _VOLUMES_LOAD_SQL,
+    "monthly_total_load": _MONTHLY_TOTAL_LOAD_SQL,
     "quotename_export": _QUOTENAME_SQL,
 }

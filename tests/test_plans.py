@@ -119,3 +119,22 @@ def test_matches_oracle(spark, duck, name):
     cols = [c[0] for c in cur.description]
     assert sorted(cols) == sorted(df.columns)
     assert got == _canon(cols, cur.fetchall())
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_shuffle_plans_have_no_pairs(no_broadcast, name):
+    # The plan a large cluster runs: only the fixed-domain hints broadcast.
+    plan = _plan(QUERIES[name](no_broadcast, SF))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, f"{name}: {node} in the shuffle-join plan"

@@ -33,6 +33,18 @@ def _now(as_of):
     return ts_literal(as_of)
 
 
+def for_keys(dim: DataFrame, rows: DataFrame, key: str = "pat_id1") -> DataFrame:
+    """The dimension rows whose key occurs in ``rows`` (a semi-join).
+
+    A left join from a small slice (a week of appointments) to a large
+    dimension can only broadcast the dimension side, so the whole dimension
+    would be shuffled. Semi-joining the dimension to the slice's distinct
+    keys first lets the runtime broadcast the key set when it is measured
+    small and filter the dimension where it is read.
+    """
+    return dim.join(rows.select(key).distinct(), key, "left_semi")
+
+
 # -- J10 / J11 ---------------------------------------------------------------
 
 def status_key_list(keys: DataFrame, since: dt.date, as_of) -> DataFrame:
@@ -144,7 +156,7 @@ def outreach_two_weeks(vw_schedule: DataFrame, staff: DataFrame, admin: DataFram
     att = staff.select(F.col("staff_id").alias("attending_md_id"),
                        F.col("last_name").alias("att_last"), F.col("first_name").alias("att_first"))
     s = (s.join(att, "attending_md_id", "left")
-          .join(admin.select("pat_id1", "pat_postal"), "pat_id1", "left"))
+          .join(for_keys(admin, s).select("pat_id1", "pat_postal"), "pat_id1", "left"))
     return s.select(
         F.col("ida").alias("mrn"),
         F.coalesce(quote_name("pat_name"), F.lit("")).alias("pat_name"),
@@ -191,18 +203,19 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
     sch = keep(sch)
     loc = staff.select(F.col("staff_id").alias("location"), F.col("last_name").alias("loc_name"))
     acts = activity_lookup(cpt, buckets).withColumnRenamed("hsp_code", "activity")
-    adm = admin.select("pat_id1", "gender", "pat_adr1", "pat_city", "pat_state", "pat_postal",
-                       "pat_home_phone", "pat_work_phone", "pat_work_phone_ex", "pat_cellphone",
-                       "ethnicity_pro_id", F.lit(True).alias("_has_admin"))
+    adm = for_keys(admin, sch).select(
+        "pat_id1", "gender", "pat_adr1", "pat_city", "pat_state", "pat_postal", "pat_home_phone",
+        "pat_work_phone", "pat_work_phone_ex", "pat_cellphone", "ethnicity_pro_id",
+        F.lit(True).alias("_has_admin"))
     eth = prompt.select(F.col("pro_id").alias("ethnicity_pro_id"), F.col("description").alias("Ethnicity"))
-    idn = ident.select("pat_id1", "ida", "ident_id", F.col("version").alias("ident_version"))
-    pat = patient.select("pat_id1", "pat_name", F.lit(True).alias("_has_patient"))
+    idn = for_keys(ident, sch).select("pat_id1", "ida", "ident_id", F.col("version").alias("ident_version"))
+    pat = for_keys(patient, sch).select("pat_id1", "pat_name", F.lit(True).alias("_has_patient"))
     j = (sch.join(loc, "location", "left")
             .join(acts, "activity", "left")
             .join(adm, "pat_id1", "left")
             .join(pat, "pat_id1", "left")
             .join(eth, "ethnicity_pro_id", "left")
-            .join(patient_race.select("pat_id1", "race"), "pat_id1", "left"))
+            .join(for_keys(patient_race, sch).select("pat_id1", "race"), "pat_id1", "left"))
     # Ident hangs off Patient in the source: no patient row, no ident row.
     j = j.join(idn, "pat_id1", "left").withColumn(
         "ida", F.when(F.col("_has_patient"), F.col("ida"))).withColumn(
@@ -214,9 +227,9 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
                  & (in_ci(race, races) | in_ci("Ethnicity", ethnicities)))
     # First diagnoses only for patients with an appointment in the window:
     # the semi-join cuts the diagnosis history before it is aggregated.
-    j = (j.join(patient_provider.select("pat_id1", "provider_name"), "pat_id1", "left")
+    j = (j.join(for_keys(patient_provider, sch).select("pat_id1", "provider_name"), "pat_id1", "left")
           .join(first_diagnosis(diagnoses, sch), "pat_id1", "left")
-          .join(vw_patient.select("pat_id1", "birth_dttm"), "pat_id1", "left"))
+          .join(for_keys(vw_patient, sch).select("pat_id1", "birth_dttm"), "pat_id1", "left"))
     detail = j.select(
         "sch_set_id",
         F.col("app_dttm").alias("App_DtTm"),

@@ -44,7 +44,6 @@ def _pushed(plan: str, table: str) -> str:
     ("outreach_two_weeks", "lineitem", "l_shipdate"),
     ("addon_infusions", "lineitem", "l_shipdate"),
     ("monthly_appt_total", "lineitem", "l_shipdate"),
-    ("bumps_literal", "lineitem", "l_shipdate"),
     ("cancels", "orders", "o_orderdate"),
     ("infusions_next6", "events", "ts"),
     ("visit_vitals_drugs", "events", "ts"),
@@ -73,6 +72,10 @@ def test_kept_windows_reach_the_scan(spark):
                                catalog.CLINIC_LOCATION, catalog.COMPLETED,
                                keep=lambda df: seen.append(df) or df)
     assert "l_shipdate" in _pushed(_plan(seen[0]), "lineitem")
+    seen.clear()
+    schedule.bumps(b.schedule, b.patient, b.ident, b.staff, catalog.BUMP_LOCATION, catalog.AS_OF,
+                   keep=lambda df: seen.append(df) or df)
+    assert "l_shipdate" in _pushed(_plan(seen[0]), "lineitem")
 
 
 def test_scans_prune_columns(spark):

@@ -81,23 +81,28 @@ def monthly_appt_total(vw_schedule: DataFrame, as_of, excluded_activities=(), ex
 
 def bumps(schedule: DataFrame, patient: DataFrame, ident: DataFrame, staff: DataFrame,
           location_name: str, as_of, literal_min: bool = True,
-          include_last_day: bool = False) -> DataFrame:
+          include_last_day: bool = False, keep=lambda df: df) -> DataFrame:
     """Per appointment at the reschedule location this month, the
     earliest edit, the appointment day and the days between.
 
     ``literal_min=True`` keeps the source's ``MIN`` over ``MM/dd/yyyy``
     text (12/30 of one year beats 01/05 of the next); the day count always
     uses the true earliest edit. Deleted versions are included on purpose.
+    The month's rows at the location are small; ``keep`` (a temp table in
+    production) holds them so the patient and staff dimensions can be cut
+    to their keys before the left joins.
     """
     loc = staff.filter(eq_ci("last_name", location_name)).select(F.col("staff_id").alias("location"))
-    prov = staff.select("staff_id", F.col("first_name").alias("prov_first"),
-                        F.col("last_name").alias("prov_last"))
-    s = (schedule.filter(month_to_date("app_dttm", as_of, include_last_day))
-                 .join(loc, "location", "left_semi")
-                 .join(patient.select("pat_id1", F.col("pat_name").alias("pname"),
-                                      F.col("pat_id1").alias("pat_key")), "pat_id1", "left")
-                 .join(ident.select(F.col("pat_id1").alias("pat_key"), "ida"), "pat_key", "left")
-                 .join(prov, "staff_id", "left"))
+    base = keep(schedule.filter(month_to_date("app_dttm", as_of, include_last_day))
+                        .join(loc, "location", "left_semi"))
+    pats = for_keys(patient, base).select("pat_id1", F.col("pat_name").alias("pname"),
+                                          F.col("pat_id1").alias("pat_key"))
+    idn = for_keys(ident, base).select(F.col("pat_id1").alias("pat_key"), "ida")
+    prov = for_keys(staff, base, "staff_id").select("staff_id", F.col("first_name").alias("prov_first"),
+                                                    F.col("last_name").alias("prov_last"))
+    s = (base.join(pats, "pat_id1", "left")
+             .join(idn, "pat_key", "left")
+             .join(prov, "staff_id", "left"))
     g = s.groupBy("app_dttm", "pat_key", "ida", "activity", "prov_first", "prov_last", "pname").agg(
         F.min(fmt_mdy("edit_dttm")).alias("min_edit_text"),
         F.min("edit_dttm").alias("min_edit"))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .mixing import OP8_SQL, op8_mixing
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op8_mixing": op8_mixing,
 }
 SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op8_mixing": OP8_SQL,
 }

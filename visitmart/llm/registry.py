@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .mixing import OP8_SQL, op8_mixing
+from .warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op8_mixing": op8_mixing,
+    "op10_warc": op10_warc,
 }
 SQL = {
     "op1_exact_dedup": OP1_SQL,
     "op8_mixing": OP8_SQL,
+    "op10_warc": OP10_SQL,
 }

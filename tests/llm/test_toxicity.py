@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 
 from visitmart.llm import toxicity as m
-from visitmart.llm.arrays import text_buffer
+from visitmart.llm.arrays import GRAM, GRAM_OF, text_buffer
 
 NICE = "the cat sat on a warm mat and looked over green hills while rain fell softly on old roofs".split()
 BAD = ["stupid", "worthless", "disgusting"]
@@ -26,11 +26,11 @@ def brute_buckets(text):
     data = b" " + bytes(b + 32 if 65 <= b <= 90 else 32 if b in (9, 10, 11, 12, 13) else b for b in text.encode()) + b" " * 12
     out = []
     for i in range(len(text.encode()) + 1):
-        for n, own in zip(m.SIZES, m._OWN):
+        for n in m.SIZES:
             g = data[i:i + n]
             if b" " in g[1:n - 1] or g[:2] == b"  ":
                 continue
-            out.append(((int.from_bytes(g, "little") ^ int(own)) * int(m._K) % 2**64) >> (64 - m.BITS))
+            out.append(((int.from_bytes(g, "little") ^ GRAM_OF[n]) * GRAM % 2**64) >> (64 - m.BITS))
     return sorted(out)
 
 

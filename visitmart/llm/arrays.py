@@ -124,3 +124,29 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     first = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(np.asarray(starts, np.int64) - first, lengths)
+
+
+GRAM = 0x9E3779B97F4A7C15
+GRAM_OF = {n: 0xA0761D6478BD642F * (2 * n + 1) % 2**64 for n in range(1, 9)}
+
+
+def ngrams(raw: np.ndarray, offsets: np.ndarray, sizes: tuple, bits: int):
+    """Hashed character n-grams (bytes, A-Z lowered) that lie in one word, bounding
+    blanks included. For each n a pair: the bucket of the n-gram that starts at
+    byte i, and whether there is one. Rows are separated by a blank, and the
+    second result gives where each row starts. n is 2 to 8, in rising order."""
+    n_rows = len(offsets) - 1
+    m = len(raw) + n_rows
+    b = np.full(m + 8, 32, np.uint8)
+    b[np.arange(len(raw)) + np.repeat(np.arange(1, n_rows + 1), np.diff(offsets))] = np.where(IS_SPACE[raw], 32, LOWER[raw])
+    blank = b == 32
+    count = np.cumsum(blank, dtype=np.int32)
+    v = np.zeros(m, U64)
+    out, j = [], 0
+    for n in sizes:
+        while j < n:
+            v |= b[j:j + m].astype(U64) << U64(8 * j)
+            j += 1
+        ok = (count[n - 2:n - 2 + m] == count[:m]) & ~(blank[:m] & blank[1:m + 1])
+        out.append((((v ^ U64(GRAM_OF[n])) * U64(GRAM) >> U64(64 - bits)).astype(np.int32), ok))
+    return out, offsets[:-1] + np.arange(n_rows)

@@ -21,45 +21,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .arrays import IS_SPACE, LOWER, slices, text_buffer
+from .arrays import ngrams, slices, text_buffer
 
 BITS = 17
 SIZES = (3, 4, 5, 6)
-_K = np.uint64(0x9E3779B97F4A7C15)
-_OWN = [np.uint64(0xA0761D6478BD642F * (2 * n + 1) % 2**64) for n in SIZES]
-
-
-def ngrams(raw: np.ndarray, offsets: np.ndarray):
-    """For each n: (bucket of the n-gram that starts at byte i, is it one?). Rows
-    are separated by blanks, so each row of the result starts with one."""
-    n_rows = len(offsets) - 1
-    size = len(raw) + n_rows + 8
-    b = np.full(size, 32, np.uint8)
-    pos = np.arange(len(raw)) + np.repeat(np.arange(1, n_rows + 1), np.diff(offsets))
-    low = LOWER[raw]
-    b[pos] = np.where(IS_SPACE[raw], 32, low)
-    blank = b == 32
-    count = np.cumsum(blank, dtype=np.int32)
-    m = size - 8
-    v = np.zeros(m, np.uint64)
-    out = []
-    j = 0
-    for n, own in zip(SIZES, _OWN):
-        while j < n:
-            v |= b[j:j + m].astype(np.uint64) << np.uint64(8 * j)
-            j += 1
-        inner = count[n - 2:n - 2 + m] - count[:m]          # blanks at 1 .. n-2
-        ok = (inner == 0) & ~(blank[:m] & blank[1:m + 1])
-        out.append(((((v ^ own) * _K) >> np.uint64(64 - BITS)).astype(np.int32), ok))
-    starts = offsets[:-1] + np.arange(n_rows)
-    return out, starts
 
 
 def features(raw: np.ndarray, offsets: np.ndarray):
     """Per row: distinct buckets and their counts."""
     for a, z in slices(offsets, 1 << 19):
         off = offsets[a:z + 1] - offsets[a]
-        grams, starts = ngrams(raw[offsets[a]:offsets[z]], off)
+        grams, starts = ngrams(raw[offsets[a]:offsets[z]], off, SIZES, BITS)
         ends = np.append(starts[1:], len(grams[0][0]))
         for s, e in zip(starts, ends):
             yield np.unique(np.concatenate([x[s:e][ok[s:e]] for x, ok in grams]), return_counts=True)
@@ -108,7 +80,7 @@ def logits(values: np.ndarray, bias: float, raw: np.ndarray, offsets: np.ndarray
     out = np.full(len(offsets) - 1, bias)
     for a, z in slices(offsets, 1 << 18):
         off = offsets[a:z + 1] - offsets[a]
-        grams, starts = ngrams(raw[offsets[a]:offsets[z]], off)
+        grams, starts = ngrams(raw[offsets[a]:offsets[z]], off, SIZES, BITS)
         total = np.zeros(len(grams[0][0]))
         n = np.zeros(len(total), np.int32)
         for bucket, ok in grams:

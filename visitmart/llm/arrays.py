@@ -67,6 +67,16 @@ def slices(offsets: np.ndarray, limit: int = 1 << 21):
         a = b
 
 
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span of a buffer."""
+    if not len(start):
+        return np.zeros(0, U64)
+    p, q = powers(_P1, len(raw) + 1)
+    h = np.zeros(len(raw) + 1, U64)
+    np.cumsum(_BYTE[raw] * p[:-1], dtype=U64, out=h[1:])
+    return mix64((h[end] - h[start]) * q[start] + (end - start).astype(U64))
+
+
 class Words:
     """Words of consecutive rows: byte spans, hashes, and each row's range."""
 
@@ -94,12 +104,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        if not len(self.start):
-            return np.zeros(0, U64)
-        p, q = powers(_P1, len(self.raw) + 1)
-        h = np.zeros(len(self.raw) + 1, U64)
-        np.cumsum(_BYTE[self.raw] * p[:-1], dtype=U64, out=h[1:])
-        return mix64((h[self.end] - h[self.start]) * q[self.start] + (self.end - self.start).astype(U64))
+        return span_hashes(self.raw, self.start, self.end)
 
     def rows(self) -> np.ndarray:
         """The row of each word."""

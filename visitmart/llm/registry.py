@@ -5,11 +5,13 @@ from __future__ import annotations
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .language import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
+from .pieces import op3_sentencepiece
 from .toxicity import op9_toxicity
 from .warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_language_id": op4_language_id,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,

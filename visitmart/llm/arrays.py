@@ -35,10 +35,9 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and its inverse modulo 2**64 for i < n."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        n = max(n, 1 << 16)
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(n, b, U64)
+            p = np.full(max(n, 1 << 16), b, U64)
             p[0] = 1
             out.append(np.cumprod(p, dtype=U64))
         have = _powers[base] = (out[0], out[1])

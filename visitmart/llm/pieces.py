@@ -144,43 +144,52 @@ def merge_heap(v: Pieces, symbols: list[int], key: int, rate: float) -> list[int
 
 
 def merge_matrix(v: Pieces, sym: np.ndarray, key: np.ndarray, rate: float) -> np.ndarray:
-    """Units as the rows of a padded matrix; each step merges one pair in every row."""
+    """Units as the rows of a padded matrix; each step merges one pair in every
+    row. Symbols are linked to their live neighbours; a merged one becomes PAD."""
     n, width = sym.shape
-    out = sym.copy()
-    if width < 2:
-        return out
-    rows, start = np.arange(n), np.tile(np.arange(width), (n, 1))
-
-    def candidates(a, b, at, k):
-        cost, piece = v.lookup(a, b)
-        live = np.flatnonzero(np.isfinite(cost))
-        drop = live[skipped(k[live], at[live], piece[live], rate)]
-        cost[drop] = np.inf
-        return cost, piece
-
-    cost, piece = (x.reshape(n, width - 1) for x in candidates(
-        sym[:, :-1].ravel(), sym[:, 1:].ravel(), start[:, :-1].ravel(), np.repeat(key, width - 1)))
-    sym = sym.copy()
-    cols = np.arange(width)
-    while True:
+    w = width + 1                                                   # a last column that never merges
+    s = np.full((n, w), PAD, np.int32)
+    s[:, :-1] = sym
+    right = np.tile(np.arange(1, w + 1, dtype=np.int16), (n, 1)).ravel()
+    left = np.tile(np.arange(-1, w - 1, dtype=np.int16), (n, 1)).ravel()
+    cost, piece = np.full((n, w), np.inf, np.float32), np.zeros(n * w, np.int32)
+
+    def candidates(a, b, col, k):
+        c, p = v.lookup(a, b)
+        live = np.flatnonzero(np.isfinite(c))
+        if rate > 0:
+            c[live[skipped(k[live], col[live], p[live], rate)]] = np.inf
+        return c, p
+
+    if width > 1:
+        c, p = candidates(s[:, :-2].ravel(), s[:, 1:-1].ravel(), np.tile(np.arange(width - 1), n), np.repeat(key, width - 1))
+        cost[:, :width - 1], piece.reshape(n, w)[:, :width - 1] = c.reshape(n, -1), p.reshape(n, -1)
+    s, rows = s.ravel(), np.arange(n)
+    while len(rows):
         best = cost.argmin(1)
-        live = np.isfinite(cost[np.arange(len(cost)), best])
+        live = np.isfinite(cost[np.arange(len(rows)), best])
         if not live.all():
-            out[rows[~live]] = sym[~live]
-            rows, sym, start, cost, piece, key, best = (x[live] for x in (rows, sym, start, cost, piece, key, best))
+            cost, rows, best = cost[live], rows[live], best[live]
         if not len(rows):
-            return out
-        i = np.arange(len(rows))
-        sym[i, best] = piece[i, best]
-        take = np.minimum(cols + (cols > best[:, None]), width - 1)
-        sym, start = np.take_along_axis(sym, take, 1), np.take_along_axis(start, take, 1)
-        sym[:, -1] = PAD
-        take = np.minimum(cols[:-1] + (cols[:-1] >= best[:, None]), width - 2)
-        cost, piece = np.take_along_axis(cost, take, 1), np.take_along_axis(piece, take, 1)
-        cost[:, -1] = np.inf
-        for at, ok in ((best - 1, best > 0), (best, best < width - 1)):
-            r, c = np.flatnonzero(ok), at[ok]
-            cost[r, c], piece[r, c] = candidates(sym[r, c], sym[r, c + 1], start[r, c], key[r])
+            break
+        base, here = rows * w, np.arange(len(rows)) * w
+        j = base + best
+        gone = right[j]
+        k = base + gone
+        s[j], s[k] = piece[j], PAD
+        after = right[k]
+        right[j], left[base + after] = after, best
+        flat = cost.ravel()
+        flat[here + gone] = np.inf
+        before = left[j].astype(np.int64)
+        has = np.flatnonzero(before >= 0)
+        bj = base[has] + before[has]
+        c, p = candidates(np.concatenate([s[j], s[bj]]), np.concatenate([s[base + after], s[j[has]]]),
+                          np.concatenate([best, before[has]]), np.concatenate([key[rows], key[rows[has]]]))
+        m = len(rows)
+        flat[here + best], piece[j] = c[:m], p[:m]
+        flat[here[has] + before[has]], piece[bj] = c[m:], p[m:]
+    return s.reshape(n, w)[:, :-1]
 
 
 def merge_units(v: Pieces, symbols: np.ndarray, length: np.ndarray, key: np.ndarray, rate: float):
@@ -196,12 +205,12 @@ def merge_units(v: Pieces, symbols: np.ndarray, length: np.ndarray, key: np.ndar
         width += width // 4 if width > 8 else 0                 # similar lengths share a matrix
         z = min(a + 8192, int(np.searchsorted(length[short], width, "right")))
         rows = short[a:z]
-        mat = np.full((len(rows), width), PAD, np.int64)
+        mat = np.full((len(rows), width), PAD, np.int32)
         mat[np.arange(width) < length[rows][:, None]] = symbols[ranges(first[rows], length[rows])]
         got = merge_matrix(v, mat, key[rows], rate)
         real = got != PAD
         sizes[rows] = real.sum(1)
-        flat.append(got[real])
+        flat.append(got[real].astype(np.int64))
         owners.append(rows)
         a = z
     for r in order[len(short):]:

@@ -6,6 +6,7 @@ from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .language import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .pieces import op3_sentencepiece
+from .substrings import OP5_SQL, op5_substring_dedup
 from .toxicity import op9_toxicity
 from .warc import OP10_SQL, op10_warc
 
@@ -13,12 +14,14 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_language_id": op4_language_id,
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
 }
 SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op5_substring_dedup": OP5_SQL,
     "op8_mixing": OP8_SQL,
     "op10_warc": OP10_SQL,
 }

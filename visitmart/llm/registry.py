@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .jaccard import op6_jaccard_join
 from .language import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .pieces import op3_sentencepiece
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_language_id": op4_language_id,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,

@@ -8,6 +8,7 @@ from .language import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .pieces import op3_sentencepiece
 from .substrings import OP5_SQL, op5_substring_dedup
+from .topk import OP7_SQL, op7_top_k
 from .toxicity import op9_toxicity
 from .warc import OP10_SQL, op10_warc
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_top_k": op7_top_k,
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
@@ -24,6 +26,7 @@ QUERIES = {
 SQL = {
     "op1_exact_dedup": OP1_SQL,
     "op5_substring_dedup": OP5_SQL,
+    "op7_top_k": OP7_SQL,
     "op8_mixing": OP8_SQL,
     "op10_warc": OP10_SQL,
 }

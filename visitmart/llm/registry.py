@@ -8,12 +8,14 @@ from .language import op4_language_id
 from .mixing import OP8_SQL, op8_mixing
 from .pieces import op3_sentencepiece
 from .substrings import OP5_SQL, op5_substring_dedup
+from .tokens import op2_token_output
 from .topk import OP7_SQL, op7_top_k
 from .toxicity import op9_toxicity
 from .warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_token_output": op2_token_output,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_language_id": op4_language_id,
     "op5_substring_dedup": op5_substring_dedup,

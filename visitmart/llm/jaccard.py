@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -87,7 +87,7 @@ class Sets:
 
 
 def class_rows(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, cls) of every row."""
+    """(doc_id, t, n, cls) of every row; t is a hash of the text."""
 
     def run(batches):
         from .arrays import slices
@@ -97,10 +97,12 @@ def class_rows(docs: DataFrame, width: int) -> DataFrame:
             _, off = text_buffer(text)
             for a, z in slices(off, 1 << 21):
                 s = Sets(text.slice(a, z - a), width)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), pa.array(s.n.astype(np.int64)),
-                                                  pa.array(s.key, pa.binary())], names=["doc_id", "n", "cls"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), batch.column(2).slice(a, z - a),
+                                                  pa.array(s.n.astype(np.int64)), pa.array(s.key, pa.binary())],
+                                                 names=["doc_id", "t", "n", "cls"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, n long, cls binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text"), F.xxhash64("text").alias("t")).mapInArrow(
+        run, "doc_id long, t long, n long, cls binary")
 
 
 class Chunk:
@@ -352,6 +354,18 @@ def class_links(cand: DataFrame, max_group: int = 4096, rounds: int = 2) -> Data
     return components(stars.unionByName(edges))
 
 
+def components_of(docs: DataFrame, width: int = 5, max_group: int = 4096) -> DataFrame:
+    """doc_id, t, n, cls, root of every row: the class of its set and the class
+    that names its component (null for rows without shingles)."""
+    rows = materialize(class_rows(docs, width))
+    classes = materialize(rows.groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id")))
+    cand = materialize(candidates(docs, classes, width))
+    roots = materialize(class_links(cand, max_group))            # only classes that link with another
+    named = materialize(rows.join(roots, (F.col("cls") == F.col("node")) & (F.col("n") > 0), "left")
+                        .select("doc_id", "t", "n", "cls", F.when(F.col("n") > 0, F.coalesce("root", "cls")).alias("root")))
+    return named
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, max_group: int = 4096) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id of the component) for each row.
 
@@ -360,16 +374,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, max_group: int = 4096) -
     sets are in one component, repeated rows too; ids need not be unique. Reads
     doc_id and text only. Empty table: no rows.
     """
-    rows = materialize(class_rows(docs, width))
-    classes = materialize(rows.groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id")))
-    cand = materialize(candidates(docs, classes, width))
-    roots = class_links(cand, max_group)
-    named = classes.filter("n > 0").join(roots, F.col("cls") == F.col("node"), "left") \
-        .select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
-    least = materialize(named.groupBy("root").agg(F.min("doc_id").alias("component_id")))
-    ids = materialize(named.select("cls", "root").join(least, "root").select(F.col("cls").alias("_cls"), "component_id"))
-    some = rows.filter("n > 0").join(ids, F.col("cls") == F.col("_cls")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return some.unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    named = components_of(docs, width, max_group)
+    least = materialize(named.filter("n > 0").groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("least")))
+    return named.join(least, F.col("root") == F.col("_root"), "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, width: int = 5, max_group: int = 4096) -> DataFrame:
+    """The row of smallest id (then text hash) of each component, all columns; rows
+    without shingles all stay. Of rows that repeat entirely one stays."""
+    named = components_of(docs, width, max_group)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "t")
+    keep = named.filter("n > 0").groupBy("root").agg(F.min(key).alias("k")).select("k.*") \
+        .unionByName(named.filter("n = 0").select(key.alias("k")).select("k.*").distinct())
+    keep = materialize(keep.select(F.col("no_id").alias("_no"), F.col("id").alias("_id"), F.col("t").alias("_t")))
+    mine = [F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.xxhash64("text")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_r"),
+                       *[c.alias(n) for c, n in zip(mine, ("_no", "_id", "_t"))]).join(keep, ["_no", "_id", "_t"], "left_semi")
+    again = F.row_number().over(Window.partitionBy("_no", "_id", "_t").orderBy(F.lit(1)))
+    blank = F.col("_r.text").isNull() | (F.translate("_r.text", " \t\n\x0b\x0c\r", "") == "")
+    return rows.withColumn("_n", again).filter((F.col("_n") == 1) | blank).select("_r.*")
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:

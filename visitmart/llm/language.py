@@ -206,8 +206,12 @@ def op4_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def language_stage(docs: DataFrame, **kw) -> DataFrame:
-    """The documents that are accepted, all columns. Rejects are few, and only
-    their ids meet the documents again."""
-    bad = identify(document_rows(docs), fit_documents(docs), **kw).filter(~F.col("accepted")) \
-        .select(F.col("key.id").alias("_bad_id"), F.col("key.t").alias("_bad_t"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_t")), "left_anti")
+    """The documents that are accepted, all columns. Rejects are few: only their
+    keys meet the documents again, by broadcast while they are under a million."""
+    bad = materialize(identify(document_rows(docs), fit_documents(docs), **kw).filter(~F.col("accepted"))
+                      .select(F.col("key.id").alias("_bad_id"), F.col("key.t").alias("_bad_t")).distinct())
+    n = bad.count()
+    if not n:
+        return docs
+    return docs.join(F.broadcast(bad) if n < 1_000_000 else bad,
+                     F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_t")), "left_anti")

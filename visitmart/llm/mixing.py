@@ -1,4 +1,4 @@
-"""Mixing sources to target weights by systematic sampling, in DataFrame operations.
+"""Mixing sources to target weights by systematic sampling.
 
 Every source has a target number of words (water filling, below). Its documents
 stand in a fixed order; each has the same expected number of copies,
@@ -17,20 +17,27 @@ of a cell are ranked together. Buckets grow with the number of rows.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .arrays import Words, slices, text_buffer
 
-WORD = r"[^\x20\x09-\x0D]+"
 OFFSET_STEPS = 1 << 20
 
 
 def word_count(text: Column) -> Column:
-    """Number of words of a text (null: 0): starts of runs outside the blanks."""
-    t = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    return F.when(F.trim(t) == "", F.lit(0)).otherwise(
-        F.size(F.split(F.regexp_replace(F.trim(t), " +", " "), " "))).cast("long")
+    """Number of words ``[^\\x20\\x09-\\x0D]+`` of a text (null: 0), counted on its bytes."""
+
+    @F.arrow_udf("long")
+    def count(column: pa.Array) -> pa.Array:
+        raw, off = text_buffer(column)
+        return pa.array(np.concatenate([np.zeros(0, np.int64)] + [Words(raw[off[a]:off[z]], off[a:z + 1]).counts.astype(np.int64)
+                                                                  for a, z in slices(off)]))
+
+    return count(text)
 
 
 def size_class(size: Column) -> Column:

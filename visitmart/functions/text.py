@@ -18,21 +18,20 @@ def _c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def quote_name(x: ColumnOrName, quote: str = '"', max_len: int = 128) -> Column:
-    """F1 ``QUOTENAME(x, '"')``: wrap in quotes, double inner quotes.
+# Fixed value: the longest input the source's QUOTENAME accepts.
+QUOTENAME_LIMIT = 128
 
-    NULL stays NULL, and input longer than ``max_len`` characters gives NULL,
-    as the source function does.
-    """
-    c = _c(x)
-    body = F.replace(c, F.lit(quote), F.lit(quote * 2))
-    return F.when(F.length(c) <= max_len, F.concat(F.lit(quote), body, F.lit(quote)))
 
+def quote_name(x: ColumnOrName, quote: str = '"', max_len: int | None = None) -> Column:
+    """F1 ``QUOTENAME(x, '"')``: wrap in quotes, double inner quotes. NULL stays NULL.
 
-def isnull_default(x: ColumnOrName, default) -> Column:
-    """F2 ``ISNULL(x, d)``."""
-    d = default if isinstance(default, Column) else F.lit(default)
-    return F.coalesce(_c(x), d)
+    Any length is quoted whole. With ``max_len`` (the source function's rule is
+    ``QUOTENAME_LIMIT``) longer input gives NULL; that drops data, so it has to
+    be asked for.
+    """
+    c = _c(x)
+    quoted = F.concat(F.lit(quote), F.replace(c, F.lit(quote), F.lit(quote * 2)), F.lit(quote))
+    return quoted if max_len is None else F.when(F.length(c) <= max_len, quoted)
 
 
 def comma_to_space(x: ColumnOrName) -> Column:
@@ -40,15 +39,6 @@ def comma_to_space(x: ColumnOrName) -> Column:
     return F.replace(_c(x), F.lit(","), F.lit(" "))
 
 
-def plus_concat(*parts: ColumnOrName | str) -> Column:
-    """F6 ``a + b``: NULL if any part is NULL (Spark ``concat`` rule).
-
-    Plain strings are literals; pass ``F.col`` for columns.
-    """
-    cols = [p if isinstance(p, Column) else F.lit(p) for p in parts]
-    return F.concat(*cols)
-
-
 def null_safe_concat(*parts: ColumnOrName | str) -> Column:
     """F7 ``CONCAT(a, '; ', b)``: a NULL part counts as the empty string."""
     cols = [F.coalesce(p, F.lit("")) if isinstance(p, Column) else F.lit(p) for p in parts]
@@ -72,10 +62,6 @@ def eq_ci(x: ColumnOrName, value: str) -> Column:
     return fold(x) == F.lit(fold_literal(value))
 
 
-def ne_ci(x: ColumnOrName, value: str) -> Column:
-    return fold(x) != F.lit(fold_literal(value))
-
-
 def contains_ci(x: ColumnOrName, word: str) -> Column:
     """P10 ``x LIKE '%word%'`` under a case-insensitive collation.
 
@@ -119,12 +105,3 @@ def name_lfm(last: ColumnOrName, first: ColumnOrName, middle: ColumnOrName | Non
         return base
     m = F.upper(F.trim(_c(middle)))
     return F.when(m.isNull() | (m == ""), base).otherwise(F.concat(base, F.lit(" "), m))
-
-
-def split_name(x: ColumnOrName) -> tuple[Column, Column]:
-    """F10 split "LAST, FIRST" at the first comma, as a CSV reader would.
-
-    Returns (last, first); a name without a comma gives first = NULL.
-    """
-    parts = F.split(_c(x), ",", 2)
-    return parts.getItem(0), F.ltrim(F.get(parts, 1))

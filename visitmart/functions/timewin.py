@@ -139,11 +139,6 @@ def fmt_iso_ts(ts: ColumnOrName) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd HH:mm:ss")
 
 
-def parse_compact_day(x: ColumnOrName) -> Column:
-    """``yyyyMMdd`` text to DATE; bad text gives NULL instead of an error."""
-    return F.to_date(F.try_to_timestamp(_c(x), F.lit("yyyyMMdd")))
-
-
 def age_years(birth: ColumnOrName, at: ColumnOrName) -> Column:
     """Completed years between birth and ``at``."""
     b, a = F.to_date(_c(birth)), F.to_date(_c(at))

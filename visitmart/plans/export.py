@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timewin import fmt_iso_day, fmt_iso_ts
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -19,9 +21,9 @@ def export_view(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = fmt_iso_day(c)
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = fmt_iso_ts(c)
         elif isinstance(f.dataType, _INTEGRAL):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))

@@ -12,7 +12,8 @@ from visitmart.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=4, app_name="visitmart-tests")
+    s = build_session("local[4]", shuffle_partitions=4, app_name="visitmart-tests",
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="visitmart-ckpt-")})
     yield s
     s.stop()
 

@@ -8,7 +8,7 @@ and a reliable checkpoint directory taken from the cluster configuration.
 from __future__ import annotations
 
 import os
-import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where that costs one more exchange above it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Static and runtime broadcast limits: sides above these are shuffled.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
@@ -34,14 +36,20 @@ ENGINE_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "visitmart", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine settings above."""
+    """Create (or reuse) a session with the engine settings above.
+
+    ``shuffle_partitions`` is only set when given; the cluster's setting holds
+    otherwise. ``extra`` must name ``spark.checkpoint.dir`` where the cluster's
+    defaults do not.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(ENGINE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("VISITMART_DRIVER_MEMORY", "8g"))
     if extra:
         conf.update(extra)
@@ -53,23 +61,16 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Point reliable checkpoints at the cluster's shared folder.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder, as ``spark.checkpoint.dir`` names it.
 
-    The folder comes from ``spark.checkpoint.dir``. Only when the cluster
-    names none (unit tests on one machine) do we fall back to a fresh local
-    folder; a cluster job must always have the shared setting.
+    There is no fallback: a folder of one machine would be invisible to the
+    other executors, so a session without the setting is an error.
     """
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        try:
-            path = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key raises in some modes
-            path = None
-    if not path:
-        path = fallback or tempfile.mkdtemp(prefix="visitmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if sc.getCheckpointDir() is None:      # each call would add a new sub-folder
         sc.setCheckpointDir(path)
     return path
@@ -86,6 +87,31 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/visitmart-tmp/{uuid.uuid4().hex}"
+    path = f"{root}/visitmart/tmp/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _folders(spark: SparkSession, path: str):
+    """(file system, [(name, modified ms, path)]) of the folders in a folder."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = list(fs.listStatus(root)) if fs.exists(root) else []
+    return fs, [(f.getPath().getName(), f.getModificationTime(), f.getPath()) for f in found if f.isDirectory()]
+
+
+def remove_old(spark: SparkSession, path: str, older_than_hours: float, keep=()) -> list[str]:
+    """Delete the folders in ``path`` untouched for that long, except ``keep``;
+    returns their names. Choose a time longer than any job that may read them."""
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    fs, found = _folders(spark, path)
+    gone = [(name, p) for name, at, p in found if at < limit and name not in keep and not name.startswith("_")]
+    for _, p in gone:
+        fs.delete(p, True)
+    return [name for name, _ in gone]
+
+
+def remove_old_temp(spark: SparkSession, older_than_hours: float = 48) -> list[str]:
+    """Delete temp tables that ``materialize`` left in the shared folder."""
+    return remove_old(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/visitmart/tmp", older_than_hours)

@@ -5,6 +5,7 @@ import os
 from conftest import d, rows, ts
 from visitmart.sources import sinks
 from visitmart.sources.csvload import LoadSpec, load_csv, mysql_format
+from visitmart.session import ensure_checkpoint_dir, materialize, remove_old_temp
 from visitmart.streaming.append_stream import stream_append
 
 SPEC = LoadSpec(
@@ -17,7 +18,7 @@ SPEC = LoadSpec(
 def _write(path, lines, sep):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "wb") as f:
-        f.write(sep.join(lines).encode("latin-1") + sep.encode())
+        f.write(sep.join(lines).encode("cp1252") + sep.encode())
 
 
 def test_mysql_formats():
@@ -29,7 +30,7 @@ def test_mysql_formats():
 def test_load_csv_preamble_quotes_and_rejects(spark, tmp_dir):
     three = ["Changed database context to 'clinic'.", "PATIENT,MRN,EDIT DATE,APPT", "-------,---,---------,----",
              '"DOE, ""JJ""",001,1/5/2024,2024-01-20 09:00:00',
-             'caf\xe9 \x93q\x94,002,12/30/2023 10:00,2024-01-20 09:00:00.000',   # latin1, trailing text
+             'caf\xe9 \u201cq\u201d,002,12/30/2023 10:00,2024-01-20 09:00:00.000',   # windows-1252, trailing text
              "NULL,003,bad,2024-01-20 09:00:00",                                  # bad date -> reject
              "SHORT,004",                                                         # short row
              "EXTRA,005,01/02/2024,2024-01-20 09:00:00,zzz"]                      # extra field dropped
@@ -42,7 +43,7 @@ def test_load_csv_preamble_quotes_and_rejects(spark, tmp_dir):
         ("EXTRA", "005", d(2024, 1, 2), ts(2024, 1, 20, 9)),
         ("LF", "006", d(2024, 1, 3), ts(2024, 1, 21, 10)),
         ("SHORT", "004", None, None),
-        ("caf\xe9 \x93q\x94", "002", d(2023, 12, 30), ts(2024, 1, 20, 9)),
+        ("caf\xe9 \u201cq\u201d", "002", d(2023, 12, 30), ts(2024, 1, 20, 9)),
     ]
     rej = loaded.rejects.collect()
     assert [(r.pat_name, r.mrn, r.ed) for r in rej] == [(None, "003", "bad")]
@@ -73,11 +74,11 @@ def test_append_repeats_unless_dedup(spark, tmp_dir):
     a = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
     sinks.append(a, t, exists=False)
     sinks.append(a, t)
-    assert spark.read.parquet(t).count() == 4
+    assert sinks.read_table(spark, t).count() == 4
     t2 = f"{tmp_dir}/app2"
     sinks.append(a, t2, ["k"], exists=False)
     sinks.append(a, t2, ["k"])
-    assert spark.read.parquet(t2).count() == 2
+    assert sinks.read_table(spark, t2).count() == 2
 
 
 def test_stream_append_exactly_once(spark, tmp_dir):
@@ -86,10 +87,10 @@ def test_stream_append_exactly_once(spark, tmp_dir):
     tgt, ck = f"{tmp_dir}/tgt", f"{tmp_dir}/ck"
     stream_append(spark, land, SPEC, tgt, ck)
     stream_append(spark, land, SPEC, tgt, ck)
-    assert spark.read.parquet(tgt).count() == 1
+    assert sinks.read_table(spark, tgt).count() == 1
     _write(f"{land}/day2/b.csv", ["B,2,01/06/2024,2024-01-21 09:00:00"], "\n")
     stream_append(spark, land, SPEC, tgt, ck)
-    assert rows(spark.read.parquet(tgt), "pat_name") == [("A",), ("B",)]
+    assert rows(sinks.read_table(spark, tgt), "pat_name") == [("A",), ("B",)]
 
 
 def test_multiline_quoted_field(spark, tmp_dir):
@@ -97,3 +98,96 @@ def test_multiline_quoted_field(spark, tmp_dir):
     _write(f"{tmp_dir}/m/a.csv", ['PATIENT,MRN,EDIT DATE,APPT', '"DOE,\nJO",7,01/05/2024,2024-01-20 09:00:00'], "\r\n")
     out = load_csv(spark, f"{tmp_dir}/m", replace(SPEC, multiline=True)).rows
     assert rows(out, "pat_name", "mrn", "editDate") == [("DOE,\nJO", "7", d(2024, 1, 5))]
+
+
+STRICT = LoadSpec(fields=("name", "n", "ed"), target=("name", "n", "day"), dates={"day": ("ed", "%m/%d/%Y")}, types={"n": "bigint"},
+                  header=("NAME", "N", "EDIT DATE"))
+LINES = ["Changed database context to 'x'.", "name,n,EDIT_DATE", "----,-,---------",      # preamble, two header spellings
+         "NULL,NULL,NULL", ",,", "A,1,1/2/2024", "B,notint,1/2/2024", "C,2,13/45/2024", "D,x,bad", "E,,",
+         "Changed database context,7,1/2/2024", "-,3,1/2/2024", "NAME,N,EDIT DATE"]
+
+
+def test_every_data_line_is_a_row_or_a_reject(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/a.csv", LINES, "\r\n")
+    loaded = load_csv(spark, f"{tmp_dir}/in", STRICT)
+    assert rows(loaded.rows) == sorted([
+        (None, None, None), (None, None, None), ("A", 1, d(2024, 1, 2)), ("E", None, None),
+        ("Changed database context", 7, d(2024, 1, 2)), ("-", 3, d(2024, 1, 2))], key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert rows(loaded.rejects, "name", "n", "ed", "_failed") == [
+        ("B", "notint", "1/2/2024", "n"), ("C", "2", "13/45/2024", "day"), ("D", "x", "bad", "day,n")]
+
+
+def test_rejects_are_kept_by_batch_and_stream(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/a.csv", LINES, "\n")
+    sinks.load_refresh(load_csv(spark, f"{tmp_dir}/in", STRICT), f"{tmp_dir}/t1")
+    assert sinks.read_current(spark, f"{tmp_dir}/t1").count() == 6
+    stream_append(spark, f"{tmp_dir}/in", STRICT, f"{tmp_dir}/t2", f"{tmp_dir}/ck")
+    assert sinks.read_table(spark, f"{tmp_dir}/t2").count() == 6
+    for t in ("t1", "t2"):
+        assert rows(sinks.read_rejects(spark, f"{tmp_dir}/{t}"), "name") == [("B",), ("C",), ("D",)]
+
+
+def test_batch_and_stream_share_a_table(spark, tmp_dir):
+    for order in ("bs", "sb"):
+        t = f"{tmp_dir}/{order}"
+        _write(f"{t}-land/a.csv", ["S,1,1/2/2024"], "\n")
+        _write(f"{t}-file/a.csv", ["B,2,1/2/2024"], "\n")
+        for step in order:
+            if step == "b":
+                sinks.load_append(load_csv(spark, f"{t}-file", STRICT), t)
+            else:
+                stream_append(spark, f"{t}-land", STRICT, t, f"{t}-ck")
+                stream_append(spark, f"{t}-land", STRICT, t, f"{t}-ck")
+        assert rows(sinks.read_table(spark, t), "name", "n") == [("B", 2), ("S", 1)]
+
+
+def test_a_batch_that_runs_again_replaces_itself_and_unlogged_ones_are_not_read(spark, tmp_dir):
+    a = spark.createDataFrame([(1,)], "x long")
+    for _ in range(2):
+        sinks.commit_batch(a, f"{tmp_dir}/t", "s1")
+    a.write.parquet(f"{tmp_dir}/t/batch=dead")
+    assert rows(sinks.read_table(spark, f"{tmp_dir}/t")) == [(1,)]
+
+
+def test_null_keys_and_repeats_in_a_batch(spark, tmp_dir):
+    a = spark.createDataFrame([(None, "a"), (None, "a"), (1, "b")], "k long, v string")
+    sinks.append(a, f"{tmp_dir}/t", ["k"], exists=False)
+    sinks.append(a, f"{tmp_dir}/t", ["k"])
+    assert rows(sinks.read_table(spark, f"{tmp_dir}/t")) == [(1, "b"), (None, "a")]
+
+
+def test_charset_round_trip(spark, tmp_dir):
+    from dataclasses import replace
+    names = ["Jos\xe9", "O\u2019Brien \u201cJo\u201d \u20ac", " lead and trail ", 'in "quotes"']
+    df = spark.createDataFrame([(n, "1", "1/2/2024") for n in names], "NAME string, N string, `EDIT DATE` string")
+    for charset in ("windows-1252", "UTF-8"):
+        sinks.export_csv(df, f"{tmp_dir}/{charset}", charset=charset)
+        out = load_csv(spark, f"{tmp_dir}/{charset}", replace(STRICT, charset=charset)).rows
+        assert rows(out, "name") == sorted((n,) for n in names)
+
+
+def test_old_versions_and_temp_tables_are_removed(spark, tmp_dir):
+    a = spark.createDataFrame([(1,)], "x long")
+    old, new = sinks.refresh(a, f"{tmp_dir}/t"), sinks.refresh(a, f"{tmp_dir}/t")
+    assert sinks.remove_old_versions(spark, f"{tmp_dir}/t", older_than_hours=1) == []
+    assert sinks.remove_old_versions(spark, f"{tmp_dir}/t", older_than_hours=-1) == [f"version={old}"]
+    assert sinks.current_version(spark, f"{tmp_dir}/t") == new and sinks.read_current(spark, f"{tmp_dir}/t").count() == 1
+    materialize(a)
+    assert remove_old_temp(spark, older_than_hours=100) == []
+
+
+def test_no_shared_folder_is_an_error(spark):
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Bare:
+        conf = Conf()
+        sparkContext = type("C", (), {"getConf": staticmethod(Conf)})()
+
+    try:
+        ensure_checkpoint_dir(Bare())
+    except ValueError as e:
+        assert "spark.checkpoint.dir" in str(e)
+    else:
+        raise AssertionError("no error")

@@ -3,16 +3,19 @@
 * Positional fields: the loader's column list maps file fields by position;
   fields past the list are dropped, missing trailing fields are NULL.
 * Quoting: fields optionally enclosed in ``"`` with ``""`` inside; a bare
-  ``NULL`` is NULL; the charset is a parameter (``ISO-8859-1`` default).
+  ``NULL`` is NULL; the charset is a parameter. The loaders' ``latin1`` is
+  windows-1252, the default here and in ``sinks.export_csv``.
 * Preamble: the extract tool writes a "database context" line, a header and
   a dash rule before the data. Spark has no row skip, and counting lines
   is meaningless when a file is split across tasks, so preamble rows are
-  recognised by content: the header names, a rule of dashes, or the
-  context message. This also drops repeated headers of multi-part output.
+  recognised by content: the header names (blanks and underscores alike), a
+  rule of dashes in every field of the header, or the context message alone on
+  its line. This also drops repeated headers of multi-part output. Every other
+  line is a row or a reject, blank and all-NULL lines too.
 * Dates: MySQL ``STR_TO_DATE`` formats; like MySQL, trailing text after a
-  complete value is ignored and numbers need not be zero-padded. A value
-  that is present but does not parse sends its row to the reject frame
-  instead of being loaded as NULL silently.
+  complete value is ignored and numbers need not be zero-padded. A date or typed
+  value that is present but does not parse sends its row to the reject frame,
+  with the columns that failed, instead of being loaded as NULL silently.
 
 The name split of F10 needs no code: an unquoted "LAST, FIRST" field is two
 fields to any CSV reader, and the loader's column list names both.
@@ -27,7 +30,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import charset
+
 CORRUPT = "_corrupt_record"
+REASON = "_failed"
 # Fixed value: the first words of the extract tool's database-context line.
 CONTEXT_PREFIX = "changed database context"
 
@@ -57,7 +63,7 @@ class LoadSpec:
     dates: dict = field(default_factory=dict)
     header: tuple = ()
     types: dict = field(default_factory=dict)   # target column -> Spark type
-    charset: str = "ISO-8859-1"
+    charset: str = charset.DEFAULT
     null_value: str = "NULL"
     # Quoted fields may hold line breaks (the loader accepts them inside
     # enclosed fields). Spark then reads each file in one task, so it is off
@@ -109,52 +115,77 @@ def parse_mysql_date(x: Column | str, fmt: str) -> Column:
 
 def read_fields(spark: SparkSession, path: str, spec: LoadSpec) -> DataFrame:
     """All fields as text, plus the raw line of malformed rows."""
+    return decoded(with_options(spark.read, spec).csv(path), spec)
+
+
+def with_options(reader, spec: LoadSpec):
+    """A batch or stream reader set to the loader's file format."""
     schema = T.StructType([T.StructField(f, T.StringType()) for f in spec.fields]
                           + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema)
+    return (reader.schema(schema)
             .option("header", "false")
             .option("quote", '"')
             .option("escape", '"')
             .option("nullValue", spec.null_value)
-            .option("encoding", spec.charset)
+            .option("encoding", charset.spark_name(spec.charset))
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("multiLine", str(spec.multiline).lower())
-            .csv(path))
+            .option("multiLine", str(spec.multiline).lower()))
+
+
+def decoded(raw: DataFrame, spec: LoadSpec) -> DataFrame:
+    return raw.select(*[charset.after_read(F.col(c), spec.charset).alias(c) for c in raw.columns])
 
 
 def preamble_row(spec: LoadSpec) -> Column:
-    """True for rows that are not data: header, dash rule, context line."""
+    """True for lines that are not data: header, dash rule, context line."""
+    def blank_after(n: int) -> Column:
+        cond = F.lit(True)
+        for f in spec.fields[n:]:
+            cond = cond & F.col(f).isNull()
+        return cond
+
     first = F.lower(F.trim(F.coalesce(F.col(spec.fields[0]), F.lit(""))))
-    context = first.startswith(CONTEXT_PREFIX)
-    dashes = F.lit(True)
-    for f in spec.fields:
-        v = F.coalesce(F.trim(F.col(f)), F.lit(""))
-        dashes = dashes & v.rlike("^-*$")
-    cond = context | dashes
+    cond = first.startswith(CONTEXT_PREFIX) & blank_after(1)
+    width = min(len(spec.header) or len(spec.fields), len(spec.fields))
+    rule = blank_after(width)
+    for f in spec.fields[:width]:
+        rule = rule & F.coalesce(F.trim(F.col(f)).rlike("^-+$"), F.lit(False))
+    cond = cond | rule
     if spec.header:
         hdr = F.lit(True)
         for f, h in zip(spec.fields, spec.header):
-            hdr = hdr & (F.lower(F.trim(F.col(f))) == F.lit(h.strip().lower()))
+            name = F.regexp_replace(F.lower(F.trim(F.coalesce(F.col(f), F.lit("")))), "[ _]+", "_")
+            hdr = hdr & (name == F.lit(re.sub("[ _]+", "_", h.strip().lower())))
         cond = cond | hdr
     return cond
 
 
 def parse_rows(raw: DataFrame, spec: LoadSpec) -> DataFrame:
-    """Drop preamble rows, parse dates and cast; ``_bad`` marks rejects."""
-    parsed = raw.filter(~preamble_row(spec))
-    bad = F.lit(False)
+    """Drop preamble lines, parse dates and cast. ``_failed`` names the targets
+    whose value is present but does not parse; it is empty for good rows. The
+    file's fields stay as they were read, as ``_raw``."""
+    parsed = raw.filter(~preamble_row(spec)).withColumn("_raw", F.struct(*spec.fields))
+    failed = []
     for target, (src, fmt) in spec.dates.items():
-        parsed = parsed.withColumn(target, parse_mysql_date(src, fmt))
-        present = F.col(src).isNotNull() & (F.trim(F.col(src)) != "")
-        bad = bad | (present & F.col(target).isNull())
+        value = F.col(f"_raw.{src}")
+        parsed = parsed.withColumn(target, parse_mysql_date(value, fmt))
+        failed.append((target, value))
     for target, dtype in spec.types.items():
-        parsed = parsed.withColumn(target, F.col(target).try_cast(dtype))
-    return parsed.withColumn("_bad", bad)
+        value = F.col(f"_raw.{target}")
+        parsed = parsed.withColumn(target, F.nullif(F.trim(value), F.lit("")).try_cast(dtype))
+        failed.append((target, value))
+    names = [F.when(v.isNotNull() & (F.trim(v) != "") & F.col(t).isNull(), F.lit(t)) for t, v in failed]
+    return parsed.withColumn(REASON, F.concat_ws(",", *names) if names else F.lit(""))
+
+
+def split_rows(parsed: DataFrame, spec: LoadSpec) -> Loaded:
+    """Loadable rows with the target's columns; rejects with the file's fields,
+    the malformed line if any, and the targets that failed."""
+    rows = parsed.filter(F.col(REASON) == "").select(*spec.target)
+    rejects = parsed.filter(F.col(REASON) != "").select("_raw.*", CORRUPT, REASON)
+    return Loaded(rows, rejects)
 
 
 def load_csv(spark: SparkSession, path: str, spec: LoadSpec) -> Loaded:
-    parsed = parse_rows(read_fields(spark, path, spec), spec)
-    rows = parsed.filter(~F.col("_bad")).select(*spec.target)
-    rejects = parsed.filter(F.col("_bad")).select(*spec.fields, CORRUPT)
-    return Loaded(rows, rejects)
+    return split_rows(parse_rows(read_fields(spark, path, spec), spec), spec)

@@ -8,9 +8,10 @@
   A failed run leaves the previous version current; readers of the old
   version are never cut off, and a table is never overwritten while it is
   being read.
-* ``append`` adds rows. As in the source a rerun appends again; with
-  ``dedup_keys`` rows whose keys are already present are skipped, which
-  makes reruns idempotent.
+* ``append`` adds rows as a committed batch. As in the source a rerun appends
+  again; with ``dedup_keys`` rows whose keys are already present are skipped,
+  which makes reruns idempotent. ``streaming.append_stream`` writes the same way.
+* Rejected rows of every load go to an append table next to the target.
 
 All paths must be on the cluster's shared storage; ``scratch_dir`` derives
 one from ``spark.checkpoint.dir``.
@@ -24,9 +25,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, remove_old
+from . import charset as charsets
+from .csvload import Loaded
 
 VERSION_LOG = "_versions"
+BATCH_LOG = "_batches"
+REJECTS = "_rejects"
 
 
 def scratch_dir(spark: SparkSession, *parts: str) -> str:
@@ -35,23 +40,31 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "visitmart", *parts, uuid.uuid4().hex])
 
 
-def export_csv(df: DataFrame, path: str, null_value: str = "NULL", preamble: bool = True) -> str:
+def export_csv(df: DataFrame, path: str, null_value: str = "NULL", preamble: bool = True, charset: str = charsets.DEFAULT,
+               headers: dict | None = None) -> str:
     """Write an extract as the extract tool does: comma-joined text lines,
     ``NULL`` for NULL, no quoting of our own (the query quoted free text
     where it wanted to), preceded by a header line and a dash rule.
 
-    The preamble rows are ordinary rows of the output, so with several
-    part files they sit in one of them, not necessarily at the top; the
-    loader recognises them by content.
+    ``headers`` gives columns another name in the file, for instance one with
+    blanks (``{"EDIT_DATE": "EDIT DATE"}``). The preamble rows are ordinary rows
+    of the output, so with several part files they sit in one of them, not
+    necessarily at the top; the loader recognises them by content. Characters
+    the charset lacks are written as ``?``; use UTF-8 where that matters.
     """
     spark = df.sparkSession
     line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(null_value))
                               for c in df.columns]).alias("value")
     out = df.select(line)
     if preamble:
-        head = [",".join(df.columns), ",".join("-" * max(len(c), 1) for c in df.columns)]
+        names = [(headers or {}).get(c, c) for c in df.columns]
+        head = [",".join(names), ",".join("-" * max(len(c), 1) for c in names)]
         out = spark.createDataFrame([(h,) for h in head], "value string").unionByName(out)
-    out.write.mode("errorifexists").option("lineSep", "\r\n").text(path)
+    # The CSV writer with one column, no separator in use and no quoting: plain lines in any charset.
+    (out.select(charsets.before_write(F.col("value"), charset).alias("value"))
+        .write.mode("errorifexists").option("encoding", charsets.spark_name(charset)).option("sep", "\u0001").option("quote", "")
+        .option("escapeQuotes", "false").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+        .option("emptyValue", "").option("lineSep", "\r\n").csv(path))
     return path
 
 
@@ -84,21 +97,70 @@ def read_current(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(f"{target}/version={current_version(spark, target)}")
 
 
+def remove_old_versions(spark: SparkSession, target: str, older_than_hours: float = 48) -> list[str]:
+    """Delete superseded versions of a refreshed datamart after a retention time."""
+    return remove_old(spark, target, older_than_hours, keep=(f"version={current_version(spark, target)}",))
+
+
+# -- append tables -------------------------------------------------------------
+# An append table is a folder of batches and a log of the batches committed. Batch
+# loads and streams write it the same way, so feeds of both kinds can share one
+# table, a failed write is never read, and a stream batch that runs again
+# replaces its own folder.
+
+def commit_batch(df: DataFrame, target: str, batch: str) -> None:
+    """Write one batch, then log it. Writing the same batch again replaces it."""
+    df.write.mode("overwrite").parquet(f"{target}/batch={batch}")
+    df.sparkSession.createDataFrame([(batch,)], "batch string").coalesce(1).write.mode("append").parquet(f"{target}/{BATCH_LOG}")
+
+
+def read_table(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of all committed batches."""
+    log = spark.read.schema("batch string").parquet(f"{target}/{BATCH_LOG}").distinct()
+    return spark.read.parquet(target).join(log, "batch", "left_semi").drop("batch")
+
+
 def append(df: DataFrame, target: str, dedup_keys: list[str] | None = None,
-           exists: bool = True) -> DataFrame:
+           exists: bool = True, batch: str | None = None) -> DataFrame:
     """J22 append load; optionally skip rows whose keys are already loaded.
 
-    ``exists=False`` tells the first load that there is nothing to dedup
-    against yet.
+    Keys compare null-safe, and of rows with equal keys inside the batch one is
+    loaded, so a rerun adds nothing. ``exists=False`` tells the first load that
+    there is nothing to compare with yet.
     """
     out = df
-    if dedup_keys and exists:
-        present = df.sparkSession.read.parquet(target).select(*dedup_keys)
-        out = df.join(present, [*dedup_keys], "left_anti")
-    out.write.mode("append").parquet(target)
+    if dedup_keys:
+        out = df.dropDuplicates(dedup_keys)
+        if exists:
+            present = read_table(df.sparkSession, target).select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(dedup_keys)])
+            same = F.lit(True)
+            for i, k in enumerate(dedup_keys):
+                same = same & out[f"`{k}`"].eqNullSafe(F.col(f"_k{i}"))
+            out = out.join(present, same, "left_anti")
+    commit_batch(out, target, batch or "b" + new_version())
     return out
 
 
-def read_table(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target)
+# -- loads ---------------------------------------------------------------------
+
+def quarantine(rejects: DataFrame, target: str, load: str) -> None:
+    """Keep a load's rejected rows in an append table next to the target."""
+    commit_batch(rejects.withColumn("_load", F.lit(load)), f"{target}{REJECTS}", load)
+
+
+def read_rejects(spark: SparkSession, target: str) -> DataFrame:
+    return read_table(spark, f"{target}{REJECTS}")
+
+
+def load_refresh(loaded: Loaded, target: str) -> str:
+    """Refresh the target with the rows, quarantine the rejects."""
+    version = refresh(loaded.rows, target)
+    quarantine(loaded.rejects, target, "r" + version)
+    return version
+
 
+def load_append(loaded: Loaded, target: str, batch: str | None = None, **kw) -> None:
+    """Append the rows, quarantine the rejects under the same batch id."""
+    batch = batch or "b" + new_version()
+    append(loaded.rows, target, batch=batch, **kw)
+    quarantine(loaded.rejects, target, batch)

@@ -6,6 +6,10 @@ folder is a file stream source: the checkpoint records which files were
 taken, so each file is appended exactly once however often the job runs,
 and a job killed halfway resumes from its last committed batch.
 
+Each micro-batch is committed to the append table under an id made of the
+checkpoint and the batch number, rejects beside it under the same id: a batch
+that runs again after a failure replaces what it had written.
+
 ``trigger(availableNow=True)`` processes what has landed and stops, which
 fits the source's scheduled, batch-style runs; the same code runs as a
 continuous stream with a processing-time trigger.
@@ -13,36 +17,29 @@ continuous stream with a processing-time trigger.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.csvload import CORRUPT, LoadSpec, parse_rows
+from ..sources.csvload import LoadSpec, decoded, parse_rows, split_rows, with_options
+from ..sources.sinks import load_append
 
 
 def stream_append(spark: SparkSession, landing: str, spec: LoadSpec, target: str,
                   checkpoint: str, files_per_batch: int = 100) -> None:
     """Append every not-yet-loaded CSV file under ``landing`` to ``target``."""
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in spec.fields]
-                          + [T.StructField(CORRUPT, T.StringType())])
-    raw = (spark.readStream.schema(schema)
-           .option("header", "false")
-           .option("quote", '"')
-           .option("escape", '"')
-           .option("nullValue", spec.null_value)
-           .option("encoding", spec.charset)
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT)
-           .option("multiLine", str(spec.multiline).lower())
-           .option("maxFilesPerTrigger", files_per_batch)
-           .option("recursiveFileLookup", "true")
-           .csv(landing))
-    rows = parse_rows(raw, spec).filter(~F.col("_bad")).select(*spec.target)
-    query = (rows.writeStream
-             .format("parquet")
-             .option("path", target)
+    raw = decoded(with_options(spark.readStream, spec)
+                  .option("maxFilesPerTrigger", files_per_batch)
+                  .option("recursiveFileLookup", "true")
+                  .csv(landing), spec)
+    feed = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        load_append(split_rows(parse_rows(batch, spec), spec), target, batch=f"s{feed}n{batch_id}")
+
+    query = (raw.writeStream
+             .foreachBatch(write)
              .option("checkpointLocation", checkpoint)
-             .outputMode("append")
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()

@@ -3,8 +3,6 @@ against a brute-force reference."""
 
 import random
 
-from pyspark.sql import functions as F
-
 from conftest import d, rows, ts
 from visitmart.functions import text
 from visitmart.operators import asof, coverage, schedule
@@ -70,12 +68,36 @@ def test_bumps_literal_vs_chrono(spark):
     assert last.count() == 3
 
 
-def test_cancel_predicates_differ_on_null(spark):
-    df = spark.createDataFrame([("X",), (None,), ("A",)], "s string")
-    two_weeks = (~F.col("s").isin("X")) | F.col("s").isNull()
-    one_week = ~(F.col("s") == F.lit("X"))
-    assert [r.s for r in df.filter(two_weeks).collect()] == [None, "A"]
-    assert [r.s for r in df.filter(one_week).collect()] == ["A"]
+def _two_week_inputs(spark):
+    vw = spark.createDataFrame([
+        (1, "M1", "DOE, JO", ts(2024, 1, 12, 9), "a1 ", "Smith", "Ann", 50, "s"),
+        (2, "M2", "ROE, AL", ts(2024, 1, 12, 9), "A1", None, None, 50, None),      # unstaffed, NULL status: kept
+        (3, "M3", "POE, ED", ts(2024, 1, 12, 9), "A1", "Smith", None, 50, "x "),   # cancelled in another spelling
+        (4, "M4", "LOE, MO", ts(2024, 1, 24, 23), "A1", "INFUSION 2", "Chair", 50, "S"),
+        (1, "M1", "DOE, JO", ts(2024, 1, 25, 0), "A1", "Smith", "Ann", 50, "S"),   # day 15
+        (1, "M1", "DOE, JO", ts(2024, 1, 12, 9), "V1", "Smith", "Ann", 50, "S"),   # virtual
+        (1, "M1", "DOE, JO", ts(2024, 1, 12, 9), "Z9", "Smith", "Ann", 50, "S"),   # no dictionary row
+        (5, "M5", "NOE, NO", ts(2024, 1, 12, 9), "A1", "Smith", "Ann", 50, "S"),   # not valid
+        (6, "M6", "HOE, HO", ts(2024, 1, 12, 9), "A1", "Smith", "Ann", 50, "S"),   # other race
+    ], "pat_id1 long, ida string, pat_name string, app_dttm timestamp_ntz, activity string, stf_last_name string, "
+       "stf_first_name string, attending_md_id long, sysdefstatus string")
+    staff = spark.createDataFrame([(50, "Lee", "Kim")], "staff_id long, last_name string, first_name string")
+    admin = spark.createDataFrame([(p, f"0000{p}") for p in (1, 2, 3, 5, 6)], "pat_id1 long, pat_postal string")
+    cpt = spark.createDataFrame([("A1", "h", "c1", "Visit", "Visit"), ("V1", "h", "C1", "Video", "A Video visit")],
+                                "hsp_code string, hsp_code3 string, cpt_code string, description string, short_desc string")
+    buckets = spark.createDataFrame([("C1 ", "c", "group a")], "actv_code string, actv_class string, actv_bucket string")
+    valid = spark.createDataFrame([(p, "N" if p == 5 else "y") for p in range(1, 7)], "pat_id1 long, is_valid string")
+    race = spark.createDataFrame([(p, "Group Y" if p == 6 else "group x") for p in range(1, 7)], "pat_id1 long, race string")
+    return vw, staff, admin, cpt, buckets, valid, race
+
+
+def test_two_weeks(spark):
+    out = schedule.outreach_two_weeks(*_two_week_inputs(spark), ts(2024, 1, 10, 15), ("Group X",), "Group A", "X", "video", "infusion")
+    assert rows(out, "mrn", "provider", "pat_zip") == [
+        ("M1", '"Smith, Ann"', "00001"), ("M2", '"Lee, Kim"', "00002"), ("M4", '"Lee, Kim"', None)]
+    plain = schedule.outreach_two_weeks(*_two_week_inputs(spark), ts(2024, 1, 10, 15), ("Group X",), "Group A", "X", "video", "infusion",
+                                        ordered=False)
+    assert rows(out) == rows(plain)
 
 
 def test_provider_resolution(spark):
@@ -104,6 +126,9 @@ def test_infusions_windows(spark):
     ident = spark.createDataFrame([(1, "M1")], "pat_id1 long, ida string")
     excl = (" Flush", "MEMO")
     addon = schedule.infusions(vw, staff, ident, now, "infusion", excl, 0, 6, True, 1)
+    by_sch = schedule.infusions(vw.drop("create_dttm"), staff, ident, now, "infusion", excl, 0, 6, True, 1,
+                                schedule=vw.select("sch_id", "app_dttm", "create_dttm"))
+    assert rows(by_sch) == rows(addon)
     day7 = schedule.infusions(vw, staff, ident, now, "infusion", excl, 6, 7, False, None)
     assert rows(addon, "App_DtTm") == [(now,)]
     # 'Flush' is not excluded by ' Flush'
@@ -119,27 +144,29 @@ def test_one_week_self_join_pairs_sets(spark):
     now = ts(2024, 1, 10, 9, 0)
     sch = spark.createDataFrame([
         (1, 10, 7, 0, ts(2024, 1, 12, 9), ts(2024, 1, 1), ts(2024, 1, 2), "A1", 5, 99, "n", "S"),
-        (2, 10, 7, 0, ts(2024, 1, 13, 9), ts(2024, 1, 3), ts(2024, 1, 4), "A1", 5, 99, "n", "F"),
+        (2, 10, 7, 0, ts(2024, 1, 13, 9), ts(2024, 1, 3), ts(2024, 1, 4), "a1 ", 5, 99, "n", "F"),
         (3, 10, 7, 1, ts(2024, 1, 14, 9), ts(2024, 1, 5), ts(2024, 1, 6), "A1", 5, 99, "n", "S"),  # old version
         (4, 11, 7, 0, ts(2024, 1, 12, 9), ts(2024, 1, 1), ts(2024, 1, 2), "A1", 5, 99, "n", None),  # NULL status
+        (5, 12, 7, 0, ts(2024, 1, 12, 9), ts(2024, 1, 1), ts(2024, 1, 2), "A1", 5, 99, "n", "x "),  # cancelled
+        (6, 13, 7, 0, ts(2024, 1, 15, 9), ts(2024, 1, 1), ts(2024, 1, 2), "93", 5, 99, "n", "S"),   # no dictionary row
     ], SCH)
     staff = spark.createDataFrame([(99, "Clinic", None)], "staff_id long, last_name string, first_name string")
     cpt = spark.createDataFrame([("A1", "H3", "C1", "Visit", "Visit")],
                                 "hsp_code string, hsp_code3 string, cpt_code string, description string, short_desc string")
-    buckets = spark.createDataFrame([("C1", "c", "Physician/APP")], "actv_code string, actv_class string, actv_bucket string")
+    buckets = spark.createDataFrame([("C1", "c", "Group A")], "actv_code string, actv_class string, actv_bucket string")
     admin = spark.createDataFrame([(7, "F", "1 Main", "City", "ST", "87101", None, None, None, None, 1)],
                                   "pat_id1 long, gender string, pat_adr1 string, pat_city string, pat_state string, "
                                   "pat_postal string, pat_home_phone string, pat_work_phone string, "
                                   "pat_work_phone_ex string, pat_cellphone string, ethnicity_pro_id long")
     patient = spark.createDataFrame([(7, "DOE, JO")], "pat_id1 long, pat_name string")
     ident = spark.createDataFrame([(7, "M7", 70, 0), (7, "M7old", 71, 1)], "pat_id1 long, ida string, ident_id long, version int")
-    prompt = spark.createDataFrame([(1, "Hispanic/Latino")], "pro_id long, description string")
+    prompt = spark.createDataFrame([(1, "Origin Q")], "pro_id long, description string")
     race = spark.createDataFrame([(7, "Other")], "pat_id1 long, race string")
     prov = spark.createDataFrame([(7, "Dr A")], "pat_id1 long, provider_name string")
     diag = spark.createDataFrame([(7, d(2020, 1, 1), "C50", "Breast")], "pat_id1 long, appt_date date, diag_code string, diag_desc string")
     vwp = spark.createDataFrame([(7, ts(1980, 1, 13))], "pat_id1 long, birth_dttm timestamp_ntz")
     out = schedule.outreach_one_week(sch, staff, cpt, buckets, admin, patient, ident, prompt, race, prov, diag,
-                                     vwp, now, ("American Indian",), ("hispanic/latino",), "X")
+                                     vwp, now, ("Group X",), ("origin q",), "X")
     got = rows(out, "App_DtTm", "Sch_Set_Id", "SchStatus_Hist_SD", "MRN", "Age")
     # set 10: one current row in the window with status S, paired with both current tips
     # (S and F); the status 'F' row itself is in the window too; the old version is out.
@@ -147,16 +174,19 @@ def test_one_week_self_join_pairs_sets(spark):
     assert got == [
         (ts(2024, 1, 12, 9), 10, "F", "M7", 43), (ts(2024, 1, 12, 9), 10, "S", "M7", 43),
         (ts(2024, 1, 13, 9), 10, "F", "M7", 44), (ts(2024, 1, 13, 9), 10, "S", "M7", 44),
+        (ts(2024, 1, 15, 9), 13, "S", "M7", 44),
     ]
+    # the dictionary's code, not the schedule's activity
+    assert set(rows(out, "Sch_Set_Id", "CPT_Code", "Hsp_Code")) == {(10, "C1", "A1"), (13, None, None)}
 
 
 def test_clinic_last_visit(spark):
     now = ts(2024, 3, 1, 8, 0)
     vw = spark.createDataFrame([
-        (1, "A, A", ts(2024, 3, 2, 9), 799), (2, "B, B", ts(2024, 3, 3, 9), 799),
-        (3, "C, C", ts(2024, 3, 4, 9), 799), (4, "D, D", ts(2024, 3, 5, 9), 799),
-        (5, "E, E", ts(2024, 3, 15, 9), 799),   # day 14: outside the half-open window
-        (1, "A, A", ts(2024, 3, 6, 9), 800),    # other location
+        (1, "A, A", ts(2024, 3, 2, 9), 31), (2, "B, B", ts(2024, 3, 3, 9), 31),
+        (3, "C, C", ts(2024, 3, 4, 9), 31), (4, "D, D", ts(2024, 3, 5, 9), 31),
+        (5, "E, E", ts(2024, 3, 15, 9), 31),   # day 14: outside the half-open window
+        (1, "A, A", ts(2024, 3, 6, 9), 32),    # other location
     ], "pat_id1 long, pat_name string, app_dttm timestamp_ntz, location_id int")
     vwp = spark.createDataFrame([(p, f"M{p}", ts(1970, 1, 1)) for p in range(1, 6)],
                                 "pat_id1 long, ida string, birth_dttm timestamp_ntz")
@@ -167,7 +197,7 @@ def test_clinic_last_visit(spark):
         (3, 1, ts(2024, 2, 20, 9), " C"),         # old version
         (4, 0, ts(2024, 2, 1, 9), "C"),           # status without the leading blank
     ], "pat_id1 long, version int, app_dttm timestamp_ntz, schstatus_hist_sd string")
-    out = schedule.clinic_last_visit(vwp, vw, sch, now, 799, (" C", " D", "E"))
+    out = schedule.clinic_last_visit(vwp, vw, sch, now, 31, (" C", " D", "E"))
     assert rows(out, "IDA", "Last_Appt") == [("M1", None), ("M2", None), ("M3", d(2024, 2, 10)), ("M4", None)]
 
 

@@ -32,7 +32,7 @@ def test_prefix_match_quoted_activity_gender_blank(spark):
     visits, admin, vwp, prompt, race, _, _ = _inputs(spark)
     spec = VolumeSpec("Rad-Onc", 2021, match="prefix", activity_col="actv_desc", quote_activity=True,
                       gender="blank")
-    out = volumes.specialty_volumes(visits, admin, vwp, prompt, race, spec)
+    out = volumes.specialty_volumes(visits, volumes.patient_profile(admin, vwp, race), prompt, spec)
     got = rows(out, "MRN", "DOB", "patient_name", "Provider", "actv_desc", "Race", "Ethnicity", "Gender")
     # duplicate visit rows collapse; NULL first name -> 'Smith; '; NULL gender -> ' '
     assert got == [("M1", "19700506", '"DOE, ""JJ"""', "Smith; ", '"Sim, plan"', "Other", "Hispanic", " ")]
@@ -40,17 +40,29 @@ def test_prefix_match_quoted_activity_gender_blank(spark):
 
 def test_exact_match_keeps_null_gender(spark):
     visits, admin, vwp, prompt, race, _, _ = _inputs(spark)
-    out = volumes.specialty_volumes(visits, admin, vwp, prompt, race, VolumeSpec("breast", 2021, gender="keep"))
+    out = volumes.specialty_volumes(visits, volumes.patient_profile(admin, vwp, race), prompt, VolumeSpec("breast", 2021, gender="keep"))
     assert rows(out, "MRN", "Race", "Ethnicity", "gender") == [("M3", " ", " ", "M")]
 
 
 def test_referral_columns(spark):
     visits, admin, vwp, prompt, race, fac, ext = _inputs(spark)
     spec = VolumeSpec("Breast", 2020, referral=True)
-    out = volumes.specialty_volumes(visits, admin, vwp, prompt, race, spec, fac, ext)
+    out = volumes.specialty_volumes(visits, volumes.patient_profile(admin, vwp, race), prompt, spec, fac, ext)
     # first name missing -> ' Lee'; facility found
     assert rows(out, "MRN", "ReferringMD", "ReferringFacility") == [("M3", " Lee", "North Clinic")]
     spec2 = VolumeSpec("Rad-Onc", 2019, match="prefix", referral=True)
-    out2 = volumes.specialty_volumes(visits, admin, vwp, prompt, race, spec2, fac, ext)
+    out2 = volumes.specialty_volumes(visits, volumes.patient_profile(admin, vwp, race), prompt, spec2, fac, ext)
     # no referral at all -> a single blank; unknown doctor id -> a single blank
     assert rows(out2, "MRN", "ReferringMD", "ReferringFacility") == [("M1", " ", None), ("M2", " ", None)]
+
+
+def test_binding_profile_equals_the_joined_one(spark):
+    import os
+
+    from visitmart.plans.bindings import Bound
+    sf = "/root/testdata/sf0.001"
+    if os.path.isdir(sf):
+        b = Bound.of(spark, sf)
+        cols = b.patient_profile.columns
+        joined = volumes.patient_profile(b.admin, b.vw_patient, b.patient_race)
+        assert sorted(map(str, b.patient_profile.collect())) == sorted(map(str, joined.select(*cols).collect()))

@@ -44,35 +44,41 @@ def first_event_cohort(diagnoses: DataFrame, code_lo: str, code_hi: str,
 
 
 def cohort_visit_summary(visits: DataFrame, earliest: DataFrame, visit_from: dt.date,
-                         visit_to: dt.date) -> DataFrame:
+                         visit_to: dt.date, first_from: dt.date, first_to: dt.date) -> DataFrame:
     """One pass over the cohort's visits, reduced to what J2-J4 read.
 
     J2/J3 read the visit rows on each patient's first-event day; J4 reads
-    how many visits each patient has in the single-visit window. The visit
-    fact is joined to the cohort once and aggregated (partially, before the
-    shuffle) to one row per distinct first-day visit plus one row per
-    patient for the other days, each carrying its count of in-window
-    visits. The result grows with the cohort, not with its visit history.
+    how many visits each patient has in the single-visit window. First days lie
+    in [first_from, first_to], so only days in either window are read (a
+    bound that reaches the scan). Visits are counted per patient, day and
+    activity map-side, before the join to the cohort: a patient with a third of
+    the visits meets it as one row per task, day and activity. The result is
+    one row per distinct first-day visit plus one row per patient for the
+    other days, each with its count of in-window visits.
     """
-    first = F.col("appt_date") == F.col("earliest_diag_date")
+    day = F.col("appt_date")
+    lo, hi = min(first_from, visit_from), max(first_to, visit_to)
+    per_day = (visits.filter(day.between(F.lit(lo), F.lit(hi)))
+               .groupBy("pat_id1", "appt_date", "appt_dt", "patient_name", "pat_mrn", "actv_code")
+               .agg(F.count(F.lit(1)).alias("n")))
+    first = day == F.col("earliest_diag_date")
 
     def on_first(c: str):
         return F.when(first, F.col(c)).alias(c)
 
-    in_window = F.col("appt_date").between(F.lit(visit_from), F.lit(visit_to))
-    return (visits.join(earliest, "pat_id1")
-                  .groupBy("pat_id1", "earliest_diag_date", first.alias("is_first"),
-                           on_first("appt_dt"), on_first("patient_name"), on_first("pat_mrn"),
-                           on_first("actv_code"))
-                  .agg(F.sum(F.when(in_window, 1).otherwise(0)).cast("bigint").alias("n_window")))
+    in_window = day.between(F.lit(visit_from), F.lit(visit_to))
+    return (per_day.join(earliest, "pat_id1")
+                   .groupBy("pat_id1", "earliest_diag_date", first.alias("is_first"),
+                            on_first("appt_dt"), on_first("patient_name"), on_first("pat_mrn"),
+                            on_first("actv_code"))
+                   .agg(F.sum(F.when(in_window, F.col("n")).otherwise(0)).cast("bigint").alias("n_window")))
 
 
 def first_day_visits(summary: DataFrame) -> DataFrame:
     """Distinct cohort visits on the patient's first-event day (shared by J2 and J3).
 
     ``summary`` comes from ``cohort_visit_summary``. The source's join on
-    (patient, day) is a filter here: no shuffle, and a patient with many
-    visits is never gathered into one task.
+    (patient, day) is a filter here, without a shuffle.
     """
     return (summary.filter(F.col("is_first") & F.col("actv_code").isNotNull())
                    .select("pat_id1", "earliest_diag_date", "appt_dt", "patient_name", "pat_mrn",
@@ -122,10 +128,10 @@ def single_visit_patients(existing: DataFrame, visits: DataFrame,
     return single_visits_from_counts(existing, seen)
 
 
-def single_visit_review(visits: DataFrame, single: DataFrame) -> DataFrame:
+def single_visit_review(visits: DataFrame, single: DataFrame, ordered: bool = True) -> DataFrame:
     """Every visit of the J4 patients, ordered by name and day."""
-    return (visits.join(single.select("pat_id1"), "pat_id1", "left_semi")
-                  .orderBy("patient_name", "appt_dt"))
+    out = visits.join(single.select("pat_id1"), "pat_id1", "left_semi")
+    return out.orderBy("patient_name", "appt_dt") if ordered else out
 
 
 def cohort_union(new_patients: DataFrame, existing: DataFrame, excluded_ids=()) -> DataFrame:
@@ -204,7 +210,7 @@ class MailingProcedure:
         if self._summary is None:
             p = self.p
             self._summary = self._keep(cohort_visit_summary(self._all_visits, self.earliest,
-                                                            p.visit_from, p.visit_to))
+                                                            p.visit_from, p.visit_to, p.first_from, p.first_to))
         return self._summary
 
     @property

@@ -11,7 +11,13 @@ Plan notes:
 * dictionary chains (activity -> code -> bucket) are filtered and joined
   among themselves first, so the fact side meets one pre-filtered lookup;
 * the schedule self-join of the one-week list deduplicates both sides per
-  set before joining, so only result rows are produced.
+  set before joining, so only result rows are produced;
+* the lists are presented in order; ``ordered=False`` leaves that sort out where
+  the rows go to a load.
+
+Text compares, joins and list checks fold case and trailing blanks, as the
+source's collation does. ``DISTINCT`` and grouping keep the text as it is: two
+spellings stay two rows, where the source would show one of them at random.
 """
 
 from __future__ import annotations
@@ -33,6 +39,10 @@ def _now(as_of):
     return ts_literal(as_of)
 
 
+def _sorted(df: DataFrame, ordered: bool, *cols) -> DataFrame:
+    return df.orderBy(*cols) if ordered else df
+
+
 def for_keys(dim: DataFrame, rows: DataFrame, key: str = "pat_id1") -> DataFrame:
     """The dimension rows whose key occurs in ``rows`` (a semi-join).
 
@@ -47,11 +57,11 @@ def for_keys(dim: DataFrame, rows: DataFrame, key: str = "pat_id1") -> DataFrame
 
 # -- J10 / J11 ---------------------------------------------------------------
 
-def status_key_list(keys: DataFrame, since: dt.date, as_of) -> DataFrame:
+def status_key_list(keys: DataFrame, since: dt.date, as_of, ordered: bool = True) -> DataFrame:
     """Keys with appointment time from ``since`` up to now, newest first."""
-    return (keys.filter(on_or_after_day("app_dttm", since) & (F.col("app_dttm") <= _now(as_of)))
-                .select(F.col("pat_id1").alias("Pat_Id1"), F.col("app_dttm").alias("App_DtTm"))
-                .orderBy(F.col("App_DtTm").desc()))
+    out = (keys.filter(on_or_after_day("app_dttm", since) & (F.col("app_dttm") <= _now(as_of)))
+               .select(F.col("pat_id1").alias("Pat_Id1"), F.col("app_dttm").alias("App_DtTm")))
+    return _sorted(out, ordered, F.col("App_DtTm").desc())
 
 
 cancels = status_key_list
@@ -81,7 +91,7 @@ def monthly_appt_total(vw_schedule: DataFrame, as_of, excluded_activities=(), ex
 
 def bumps(schedule: DataFrame, patient: DataFrame, ident: DataFrame, staff: DataFrame,
           location_name: str, as_of, literal_min: bool = True,
-          include_last_day: bool = False, keep=lambda df: df) -> DataFrame:
+          include_last_day: bool = False, keep=lambda df: df, ordered: bool = True) -> DataFrame:
     """Per appointment at the reschedule location this month, the
     earliest edit, the appointment day and the days between.
 
@@ -109,7 +119,7 @@ def bumps(schedule: DataFrame, patient: DataFrame, ident: DataFrame, staff: Data
     provider = F.concat(F.rtrim(F.coalesce("prov_first", F.lit(""))), F.lit(" "),
                         F.rtrim(F.coalesce("prov_last", F.lit(""))))
     edit = F.col("min_edit_text") if literal_min else fmt_mdy("min_edit")
-    return g.select(
+    out = g.select(
         quote_name(F.coalesce("pname", F.lit(""))).alias("PATIENT"),
         comma_to_space("ida").alias("MRN"),
         comma_to_space("activity").alias("ACTIVITY"),
@@ -117,15 +127,21 @@ def bumps(schedule: DataFrame, patient: DataFrame, ident: DataFrame, staff: Data
         edit.alias("EDIT_DATE"),
         fmt_mdy("app_dttm").alias("APPT_DATE"),
         day_diff("min_edit", "app_dttm").alias("CALCULATED_DAYS"),
-    ).distinct().orderBy("APPT_DATE", "MRN")
+    ).distinct()
+    return _sorted(out, ordered, "APPT_DATE", "MRN")
 
 
 # -- activity dictionary -------------------------------------------------------
 
 def activity_lookup(cpt: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Activity -> code -> bucket, joined among the dictionaries first."""
-    b = buckets.select(F.col("actv_code").alias("cpt_code"), "actv_class", "actv_bucket")
-    return cpt.join(b, "cpt_code", "left")
+    """Activity -> code -> bucket, joined among the dictionaries first.
+
+    ``act_key`` is the folded activity code that the schedule's folded activity
+    meets; the keys are folded once per dictionary.
+    """
+    b = buckets.select(fold("actv_code").alias("_code"), "actv_class", "actv_bucket")
+    return (cpt.join(b, fold("cpt_code") == F.col("_code"), "left").drop("_code")
+               .withColumn("act_key", fold("hsp_code")))
 
 
 # -- J14 ---------------------------------------------------------------------
@@ -145,31 +161,37 @@ def provider_resolution(infusion_prefix: str):
 def outreach_two_weeks(vw_schedule: DataFrame, staff: DataFrame, admin: DataFrame, cpt: DataFrame,
                        buckets: DataFrame, ref_patients: DataFrame, patient_race: DataFrame,
                        as_of, races, bucket: str, cancel_code: str, virtual_word: str,
-                       infusion_prefix: str, days: int = 14) -> DataFrame:
+                       infusion_prefix: str, days: int = 14, keep=lambda df: df, ordered: bool = True) -> DataFrame:
     """Valid patients of listed races with a non-cancelled, non-virtual
-    physician visit in [today, today + days], with the resolved provider."""
+    physician visit in [today, today + days], with the resolved provider.
+
+    ``keep`` (a temp table in production) holds the two weeks' rows, so that the
+    patient and staff dimensions are cut to their keys before the joins.
+    """
     acts = (activity_lookup(cpt, buckets)
             .filter(eq_ci("actv_bucket", bucket) & ~contains_ci("short_desc", virtual_word))
-            .select(F.col("hsp_code").alias("activity")))
-    valid = ref_patients.filter(eq_ci("is_valid", "Y")).select("pat_id1")
-    race = patient_race.filter(in_ci("race", races)).select("pat_id1", F.col("race").alias("pat_race"))
-    not_cancelled = (~F.col("sysdefstatus").isin(cancel_code)) | F.col("sysdefstatus").isNull()
-    s = (vw_schedule.filter(day_window_inclusive("app_dttm", as_of, days) & not_cancelled)
-                    .join(acts, "activity", "left_semi")
-                    .join(valid, "pat_id1", "left_semi")
-                    .join(race, "pat_id1"))
+            .select("act_key"))
+    not_cancelled = not_in_ci("sysdefstatus", [cancel_code]) | F.col("sysdefstatus").isNull()
+    s = keep(vw_schedule.filter(day_window_inclusive("app_dttm", as_of, days) & not_cancelled)
+                        .join(acts, fold("activity") == F.col("act_key"), "left_semi"))
+    valid = for_keys(ref_patients.filter(eq_ci("is_valid", "Y")), s).select("pat_id1")
+    race = for_keys(patient_race.filter(in_ci("race", races)), s).select("pat_id1", F.col("race").alias("pat_race"))
     att = staff.select(F.col("staff_id").alias("attending_md_id"),
                        F.col("last_name").alias("att_last"), F.col("first_name").alias("att_first"))
-    s = (s.join(att, "attending_md_id", "left")
-          .join(admin.select("pat_id1", "pat_postal"), "pat_id1", "left"))
-    return s.select(
+    adm = for_keys(admin, s).select("pat_id1", "pat_postal")
+    s = (s.join(valid, "pat_id1", "left_semi")
+          .join(race, "pat_id1")
+          .join(for_keys(att, s, "attending_md_id"), "attending_md_id", "left")
+          .join(adm, "pat_id1", "left"))
+    out = s.select(
         F.col("ida").alias("mrn"),
         F.coalesce(quote_name("pat_name"), F.lit("")).alias("pat_name"),
         provider_resolution(infusion_prefix).alias("provider"),
         F.col("app_dttm").alias("app_dttm"),
         F.col("pat_postal").alias("pat_zip"),
         "pat_race",
-    ).distinct().orderBy("app_dttm")
+    ).distinct()
+    return _sorted(out, ordered, "app_dttm")
 
 
 # -- J15 ---------------------------------------------------------------------
@@ -177,14 +199,14 @@ def outreach_two_weeks(vw_schedule: DataFrame, staff: DataFrame, admin: DataFram
 def first_diagnosis(diagnoses: DataFrame, patients: DataFrame | None = None) -> DataFrame:
     """U4: first diagnosis code and text per patient (earliest day, then code).
 
-    ``patients`` (optional) restricts the scan to the patients needed before
-    the aggregation; the aggregate itself is partial before the shuffle.
+    The minimum is partial before the shuffle, so a patient with a third of the
+    history is one row per task; ``patients`` (optional) cuts the result, which
+    is partitioned by patient already.
     """
-    d = diagnoses
-    if patients is not None:
-        d = d.join(patients.select("pat_id1").distinct(), "pat_id1", "left_semi")
-    first = d.groupBy("pat_id1").agg(
+    first = diagnoses.groupBy("pat_id1").agg(
         F.min(F.struct("appt_date", "diag_code", "diag_desc")).alias("f"))
+    if patients is not None:
+        first = first.join(patients.select("pat_id1").distinct(), "pat_id1", "left_semi")
     return first.select("pat_id1", F.col("f.diag_code").alias("dx_code"), F.col("f.diag_desc").alias("dx_desc"))
 
 
@@ -192,22 +214,23 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
                       admin: DataFrame, patient: DataFrame, ident: DataFrame, prompt: DataFrame,
                       patient_race: DataFrame, patient_provider: DataFrame, diagnoses: DataFrame,
                       vw_patient: DataFrame, as_of, races, ethnicities, cancel_code: str,
-                      days: int = 7, keep=lambda df: df) -> DataFrame:
+                      days: int = 7, keep=lambda df: df, ordered: bool = True) -> DataFrame:
     """32-column contact list of current appointments in [today, today+days]
     for patients of listed races or ethnicities, paired with every current
     row of the same schedule set.
 
     ``NOT status = 'X'`` drops NULL status (unlike J14's ``NOT IN .. OR NULL``).
+    An activity without a dictionary entry has NULL codes.
     """
     now = as_datetime(as_of)
     sch = schedule.filter((F.col("version") == 0)
                           & day_window_inclusive("app_dttm", as_of, days)
-                          & ~(F.col("schstatus_hist_sd") == F.lit(cancel_code)))
+                          & ~eq_ci("schstatus_hist_sd", cancel_code))
     # The window's rows feed three steps (detail, diagnosis lookup, set
     # pairing): ``keep`` (a checkpoint in production) computes them once.
     sch = keep(sch)
     loc = staff.select(F.col("staff_id").alias("location"), F.col("last_name").alias("loc_name"))
-    acts = activity_lookup(cpt, buckets).withColumnRenamed("hsp_code", "activity")
+    acts = activity_lookup(cpt, buckets)
     adm = for_keys(admin, sch).select(
         "pat_id1", "gender", "pat_adr1", "pat_city", "pat_state", "pat_postal", "pat_home_phone",
         "pat_work_phone", "pat_work_phone_ex", "pat_cellphone", "ethnicity_pro_id",
@@ -216,7 +239,7 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
     idn = for_keys(ident, sch).select("pat_id1", "ida", "ident_id", F.col("version").alias("ident_version"))
     pat = for_keys(patient, sch).select("pat_id1", "pat_name", F.lit(True).alias("_has_patient"))
     j = (sch.join(loc, "location", "left")
-            .join(acts, "activity", "left")
+            .join(acts, fold("activity") == F.col("act_key"), "left")
             .join(adm, "pat_id1", "left")
             .join(pat, "pat_id1", "left")
             .join(eth, "ethnicity_pro_id", "left")
@@ -259,7 +282,7 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
         F.col("pat_postal").alias("Pat_Postal"),
         quote_name(F.coalesce("notes", F.lit(""))).alias("Notes"),
         F.col("cpt_code").alias("CPT_Code"),
-        F.col("activity").alias("Hsp_Code"),
+        F.col("hsp_code").alias("Hsp_Code"),
         F.col("hsp_code3").alias("Hsp_Code3"),
         "actv_class", "actv_bucket",
     ).distinct()
@@ -276,48 +299,56 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
                    .withColumn("Create_DtDiff", F.datediff(run_day, F.to_date("Create_DtTm")).cast("bigint"))
                    .withColumn("Edit_DtDiff", F.datediff(run_day, F.to_date("Edit_DtTm")).cast("bigint")))
     out = detail.join(tip, "sch_set_id").withColumnRenamed("sch_set_id", "Sch_Set_Id")
-    return out.select(
+    out = out.select(
         "App_DtTm", "MRN", "Name", "Location", "Activity_Description", "Provider", "DxCode", "DxDesc",
         "gender", "Races", "Ethnicity", "Age", "Pat_Work_Phone", "Pat_Work_Phone_Ex", "Pat_Home_Phone",
         "Mobile", "Address", "City", "State", "Pat_Postal", "Notes", "CPT_Code", "Hsp_Code", "Hsp_Code3",
         "Sch_Set_Id", "SchStatus_Hist_SD", "Create_DtTm", "Create_DtDiff", "Edit_DtTm", "Edit_DtDiff",
-        "actv_class", "actv_bucket").orderBy("App_DtTm")
+        "actv_class", "actv_bucket")
+    return _sorted(out, ordered, "App_DtTm")
 
 
 # -- J16 / J17 ---------------------------------------------------------------
 
 def infusions(vw_schedule: DataFrame, staff: DataFrame, ident: DataFrame, as_of, staff_group: str,
               excluded_activities=(), app_from_days: float = 0.0, app_to_days: float = 6.0,
-              app_from_inclusive: bool = True, created_days: float | None = 1.0) -> DataFrame:
+              app_from_inclusive: bool = True, created_days: float | None = 1.0,
+              schedule: DataFrame | None = None, ordered: bool = True) -> DataFrame:
     """Appointments of one staff group in a rolling window after now,
     minus listed activities; optionally only those created in the
     ``created_days`` before now. No status filter, by design.
 
+    The created time is the view's ``create_dttm``, or, with ``schedule``, that
+    of the schedule row of the same ``sch_id`` (the view need not have it).
+
     J16: window [now, now+6d], created in [now-1d, now).
     J17: window (now+6d, now+7d], no created filter.
     """
-    f = (rolling_window("app_dttm", as_of, app_from_days, app_to_days, lo_inclusive=app_from_inclusive)
-         & eq_ci("stf_last_name", staff_group)
-         & not_in_ci("activity", excluded_activities))
+    window = rolling_window("app_dttm", as_of, app_from_days, app_to_days, lo_inclusive=app_from_inclusive)
+    rows = vw_schedule.filter(window & eq_ci("stf_last_name", staff_group) & not_in_ci("activity", excluded_activities))
     if created_days is not None:
-        f = f & rolling_window("create_dttm", as_of, -created_days, 0, hi_inclusive=False)
-    s = (vw_schedule.filter(f)
+        created = rolling_window("create_dttm", as_of, -created_days, 0, hi_inclusive=False)
+        rows = (rows.filter(created) if schedule is None
+                else rows.join(schedule.filter(window & created).select("sch_id"), "sch_id", "left_semi"))
+    s = (rows
                     .join(staff.select("staff_id"), "staff_id", "left_semi")
                     .join(ident.select("pat_id1", F.col("ida").alias("MRN")), "pat_id1"))
-    return s.select(
+    out = s.select(
         F.col("app_dttm").alias("App_DtTm"),
         quote_name("pat_name").alias("PAT_NAME"),
         "MRN",
         quote_name("location_name").alias("Location"),
         F.col("activity").alias("Activity"),
         quote_name("short_desc").alias("Short_Desc"),
-    ).distinct().orderBy("App_DtTm")
+    ).distinct()
+    return _sorted(out, ordered, "App_DtTm")
 
 
 # -- J18 ---------------------------------------------------------------------
 
 def clinic_last_visit(vw_patient: DataFrame, vw_schedule: DataFrame, schedule: DataFrame, as_of,
-                      location_id, completed_statuses, days: int = 14, keep=lambda df: df) -> DataFrame:
+                      location_id, completed_statuses, days: int = 14, keep=lambda df: df,
+                      ordered: bool = True) -> DataFrame:
     """Patients at one location in [today, today+days) with the day of
     their latest completed current visit on an earlier day.
 
@@ -330,19 +361,20 @@ def clinic_last_visit(vw_patient: DataFrame, vw_schedule: DataFrame, schedule: D
                         .join(vw_patient.select("pat_id1", "ida", "birth_dttm"), "pat_id1")
                         .withColumn("day", F.to_date("app_dttm")))
     keys = t.select("pat_id1", "day")
-    # History of the listed patients only, cut before it is deduplicated.
+    # History as distinct (patient, day), map-side, before it is cut to the listed patients.
     hist = (schedule.filter((F.col("version") == 0) & in_ci("schstatus_hist_sd", completed_statuses))
-                    .join(keys.select("pat_id1"), "pat_id1", "left_semi")
-                    .select("pat_id1", F.to_date("app_dttm").alias("day")))
+                    .select("pat_id1", F.to_date("app_dttm").alias("day")).distinct()
+                    .join(keys.select("pat_id1").distinct(), "pat_id1", "left_semi"))
     last = strict_backward_asof(keys, hist)
     out = t.join(last, ["pat_id1", "day"], "left")
-    return out.select(
+    out = out.select(
         F.col("ida").alias("IDA"),
         F.col("birth_dttm").alias("BIRTH_DTTM"),
         F.col("pat_name").alias("PAT_NAME"),
         F.col("app_dttm").alias("App_DtTm"),
         F.col("last_day").alias("Last_Appt"),
-    ).distinct().orderBy("App_DtTm", "PAT_NAME")
+    ).distinct()
+    return _sorted(out, ordered, "App_DtTm", "PAT_NAME")
 
 
 # -- R1 and A2/A3 on their own -------------------------------------------------

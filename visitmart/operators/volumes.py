@@ -34,19 +34,28 @@ def referring_md(first: str = "ref_first", last: str = "ref_last"):
                     F.rtrim(F.coalesce(F.col(last), F.lit(""))))
 
 
-def specialty_volumes(visits: DataFrame, admin: DataFrame, vw_patient: DataFrame,
-                      prompt: DataFrame, patient_race: DataFrame, spec: VolumeSpec,
+def patient_profile(admin: DataFrame, vw_patient: DataFrame, patient_race: DataFrame) -> DataFrame:
+    """What the volumes read of a patient: contact row, birth time, race if any."""
+    return (admin.select("pat_id1", "pat_postal", "ethnicity_pro_id", "gender", "ref_fac_id", "ref_md_id")
+            .join(vw_patient.select("pat_id1", "birth_dttm"), "pat_id1")
+            .join(patient_race.select("pat_id1", "race"), "pat_id1", "left"))
+
+
+def specialty_volumes(visits: DataFrame, profile: DataFrame, prompt: DataFrame, spec: VolumeSpec,
                       facility: DataFrame | None = None,
                       external: DataFrame | None = None) -> DataFrame:
+    """J19/J20. ``profile`` is ``patient_profile`` or a curated table of its columns:
+    the visits meet the patients in one join. ``spec.day_from``, where known,
+    repeats the fiscal-year bound on the visit day, which reaches the scan."""
     v = visits.filter((F.col("fy") >= spec.fy_from) & specialty_predicate(spec))
-    adm_cols = ["pat_id1", "pat_postal", "ethnicity_pro_id", "gender"]
+    if spec.day_from is not None:
+        v = v.filter(F.col("appt_date") >= F.lit(spec.day_from))
+    cols = ["pat_id1", "pat_postal", "ethnicity_pro_id", "gender", "birth_dttm", "race"]
     if spec.referral:
-        adm_cols += ["ref_fac_id", "ref_md_id"]
-    j = (v.join(admin.select(*adm_cols), "pat_id1")
-          .join(vw_patient.select("pat_id1", "birth_dttm"), "pat_id1")
+        cols += ["ref_fac_id", "ref_md_id"]
+    j = (v.join(profile.select(*cols), "pat_id1")
           .join(prompt.select(F.col("pro_id").alias("ethnicity_pro_id"),
-                              F.col("description").alias("ethnicity")), "ethnicity_pro_id", "left")
-          .join(patient_race.select("pat_id1", "race"), "pat_id1", "left"))
+                              F.col("description").alias("ethnicity")), "ethnicity_pro_id", "left"))
     if spec.referral:
         if facility is None or external is None:
             raise ValueError("referral volumes need facility and external inputs")

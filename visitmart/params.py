@@ -38,3 +38,4 @@ class VolumeSpec:
     quote_activity: bool = False
     gender: str | None = None    # None, "keep" (NULL kept) or "blank" (NULL to ' ')
     referral: bool = False
+    day_from: dt.date | None = None   # first day of fiscal year fy_from: lets the scan skip older visits

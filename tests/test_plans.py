@@ -41,7 +41,10 @@ def _pushed(plan: str, table: str) -> str:
 
 
 @pytest.mark.parametrize("name,table,column", [
-    ("outreach_two_weeks", "lineitem", "l_shipdate"),
+    ("volumes_exact", "orders", "o_orderdate"),
+    ("volumes_prefix", "orders", "o_orderdate"),
+    ("volumes_gender", "orders", "o_orderdate"),
+    ("volumes_referral", "orders", "o_orderdate"),
     ("addon_infusions", "lineitem", "l_shipdate"),
     ("monthly_appt_total", "lineitem", "l_shipdate"),
     ("cancels", "orders", "o_orderdate"),
@@ -68,6 +71,10 @@ def test_kept_windows_reach_the_scan(spark):
         keep=lambda df: seen.append(df) or df)
     assert "l_shipdate" in _pushed(_plan(seen[0]), "lineitem")
     seen.clear()
+    schedule.outreach_two_weeks(b.vw_schedule, b.staff, b.admin, b.cpt, b.bucket_ref, b.ref_patients, b.patient_race,
+                                catalog.AS_OF, ("x",), "g", "X", "v", "i", keep=lambda df: seen.append(df) or df)
+    assert "l_shipdate" in _pushed(_plan(seen[0]), "lineitem")
+    seen.clear()
     schedule.clinic_last_visit(b.vw_patient, b.vw_schedule, b.schedule, catalog.CLINIC_AS_OF,
                                catalog.CLINIC_LOCATION, catalog.COMPLETED,
                                keep=lambda df: seen.append(df) or df)
@@ -78,6 +85,71 @@ def test_kept_windows_reach_the_scan(spark):
     assert "l_shipdate" in _pushed(_plan(seen[0]), "lineitem")
 
 
+def test_parts_cut_the_lines_before_the_orders(no_broadcast):
+    """No exchange of unreduced order lines feeds the join with the orders."""
+    from visitmart.plans.bindings import Bound
+    from pyspark.sql import functions as F
+    b = Bound(no_broadcast, SF)
+    for df in (b.diagnoses.filter(F.col("diag_code") < "Brand#12"), QUERIES["volumes_exact"](no_broadcast, SF)):
+        df = df.select(*df.columns)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan.splitlines()
+        depth = {t: next(len(x) - len(x.lstrip(" :+-")) for x in lines if t in x) for t in ("l_orderkey", "o_orderdate#", "p_brand#")}
+        joins = [x for x in lines if "Join Inner" in x]
+        part = next(x for x in joins if "l_partkey" in x and "p_partkey" in x)
+        orders = next(x for x in joins if "l_orderkey" in x and "o_orderkey" in x)
+        assert len(part) - len(part.lstrip(" :+-")) > len(orders) - len(orders.lstrip(" :+-")), plan
+        assert depth
+
+
+def _summary_plan(spark):
+    from visitmart.operators import cohort
+    from visitmart.plans import catalog
+    from visitmart.plans.bindings import Bound
+    b, p = Bound(spark, SF), catalog.COHORT
+    earliest = cohort.first_event_cohort(b.diagnoses, p.code_lo, p.code_hi, p.first_from, p.first_to)
+    return _plan(cohort.cohort_visit_summary(b.visits, earliest, p.visit_from, p.visit_to, p.first_from, p.first_to))
+
+
+def test_cohort_windows_reach_the_scan(spark):
+    assert "o_orderdate" in _pushed(_summary_plan(spark).split("ReadSchema", 99)[0], "orders") or "GreaterThanOrEqual(o_orderdate" in _summary_plan(spark)
+
+
+def test_hot_patients_are_reduced_before_they_meet(no_broadcast):
+    """A map-side aggregate stands below each join on the patient."""
+    plan = _plan(QUERIES["visit_vitals_drugs"](no_broadcast, SF))
+    assert plan.count("HashAggregate") >= 6                       # partial and final for each of the three inputs
+    assert "count(1)" in _summary_plan(no_broadcast) or "partial_count" in _summary_plan(no_broadcast)
+
+
+def test_one_patient_with_a_third_of_the_rows(no_broadcast):
+    """Coverage and mailing list with a hot patient: the same result as from distinct days."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from visitmart.operators import cohort, coverage
+    spark = no_broadcast
+    day0 = dt.date(2024, 1, 1)
+    n = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500 + 100).alias("pat_id1"),
+                                 F.date_add(F.lit(day0), (F.col("id") % 40).cast("int")).alias("appt_date"), F.col("id"))
+    pats = n.select("pat_id1").distinct().select("pat_id1", F.lit("M").alias("ida"), F.lit("N").alias("pat_id1_name"))
+    obs = n.select("pat_id1", F.lit("v").alias("observation_bucket"), F.col("appt_date").cast("timestamp_ntz").alias("measurement_dttm"))
+    drugs = n.filter("id % 2 = 0").select("pat_id1", F.col("appt_date").cast("timestamp_ntz").alias("adm_start_dttm"))
+    got = coverage.visit_vitals_drugs(n, pats, obs, drugs, day0, "v")
+    assert got.count() == n.select("pat_id1", "appt_date").distinct().count()
+    assert got.filter("Vitals_Date is null").count() == 0
+    diag = n.select("pat_id1", "appt_date", F.lit("K1").alias("diag_code"))
+    visits = n.select("pat_id1", F.lit("P").alias("patient_name"), F.lit("M").alias("pat_mrn"),
+                      F.date_format("appt_date", "yyyyMMdd").alias("appt_dt"), "appt_date",
+                      F.when(F.col("id") % 6 == 0, "np").otherwise("fu").alias("actv_code"))
+    last = day0 + dt.timedelta(days=60)
+    first = cohort.first_event_cohort(diag, "K1", "K2", day0, last)
+    summary = cohort.cohort_visit_summary(visits, first, day0, last, day0, last)
+    counts = dict((r.pat_id1, r.n_visits) for r in cohort.window_visit_counts(summary).collect())
+    assert counts == dict((r.pat_id1, r["count"]) for r in visits.groupBy("pat_id1").count().collect())
+
+
 def test_scans_prune_columns(spark):
     plan = _plan(QUERIES["cancels"](spark, SF))
     m = re.search(r"Scan parquet .*?orders\.parquet.*?ReadSchema: struct<(.*?)>", plan, re.S)

@@ -18,7 +18,10 @@ Mapping (one line per entity):
 * schedule (one row per order line): appointment = ship date, created and
   edited = order date, set = order, current version = return flag ``N``,
   status = line status, system status = order status, activity = part key.
-* cpt: ``part``; activity buckets: distinct part types.
+* cpt: ``part``; activity buckets: distinct part types. Schedule activities
+  are the part's code in either case, some with a trailing blank, and one in
+  17 has no entry in the dictionary; statuses come in either case; one
+  appointment in 13 is not staffed.
 * event schedule, scheduled sets, vitals, drugs, patient log: ``events``.
 
 Broadcast hints are only put on ``nation`` and ``region``: their size is
@@ -34,6 +37,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import name_lfm
 from ..model import schema_of
 
 _TABLES: dict[tuple, DataFrame] = {}
@@ -42,11 +46,10 @@ _BOUND: dict[tuple, "Bound"] = {}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Fixed values. PHYSICIAN_BUCKET is the activity-bucket name the two-week
-# outreach list selects on; the other values are choices of this binding.
-PHYSICIAN_BUCKET = "Physician/APP"
+# Choices of this binding.
+PHYSICIAN_BUCKET = "Group A"
 PHYSICIAN_TYPES = ("ECONOMY", "PROMO", "STANDARD")   # part types bucketed as physician visits
-OTHER_BUCKET = "Support"
+OTHER_BUCKET = "Group B"
 DEATH_MARK = "D"
 REFERRAL_NATION_LIMIT = 20
 
@@ -116,7 +119,7 @@ class Bound:
         first = F.split_part(c.c_name, _s("#"), F.lit(2))
         return c.select(
             c.c_custkey.alias("pat_id1"), last.alias("last_name"), first.alias("first_name"),
-            F.concat(last, _s(", "), first).alias("pat_name"),
+            name_lfm(last, first).alias("pat_name"),
             _pad(c.c_custkey, 9).alias("ida"),
             "c_acctbal", "c_mktsegment", "c_nationkey", "c_name")
 
@@ -168,6 +171,22 @@ class Bound:
             F.when(referred, j.n_regionkey.cast("bigint")).alias("ref_fac_id"),
             F.when(referred, j.c_nationkey.cast("bigint")).alias("ref_md_id"))
 
+    @cached_property
+    def patient_profile(self) -> DataFrame:
+        """What the volumes read of a patient, from one scan of the customers:
+        the same rows as ``volumes.patient_profile(admin, vw_patient, patient_race)``."""
+        c = self.table("customer")
+        n, r = self.nation, self.region
+        j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
+        dob = F.date_add(F.lit("1930-01-01").cast("date"), F.floor((j.c_acctbal + 1000) * 2.5).cast("int"))
+        referred = j.c_nationkey < REFERRAL_NATION_LIMIT
+        return j.select(j.c_custkey.alias("pat_id1"), _pad(j.c_nationkey, 5).alias("pat_postal"),
+                        j.c_nationkey.cast("bigint").alias("ethnicity_pro_id"),
+                        F.substring(j.c_mktsegment, 1, 1).alias("gender"),
+                        F.when(referred, j.n_regionkey.cast("bigint")).alias("ref_fac_id"),
+                        F.when(referred, j.c_nationkey.cast("bigint")).alias("ref_md_id"),
+                        dob.cast("timestamp_ntz").alias("birth_dttm"), j.r_name.alias("race"))
+
     @cached_property
     def ref_patients(self) -> DataFrame:
         c = self._customer_names()
@@ -219,7 +238,7 @@ class Bound:
     @cached_property
     def cpt(self) -> DataFrame:
         p = self.table("part")
-        return p.select(p.p_partkey.cast("string").alias("hsp_code"), p.p_brand.alias("hsp_code3"),
+        return p.select(F.concat(_s("P"), p.p_partkey.cast("string")).alias("hsp_code"), p.p_brand.alias("hsp_code3"),
                         p.p_type.alias("cpt_code"), p.p_name.alias("description"),
                         p.p_name.alias("short_desc"))
 
@@ -233,28 +252,33 @@ class Bound:
              .otherwise(_s(OTHER_BUCKET)).alias("actv_bucket"))
 
     # -- visits and diagnoses ----------------------------------------------
-    def _order_lines(self) -> DataFrame:
-        li = self.table("lineitem")
+    def _order_lines(self, lines: DataFrame | None = None) -> DataFrame:
+        li = self.table("lineitem") if lines is None else lines
         o = self.table("orders")
         return li.join(o, li.l_orderkey == o.o_orderkey)
 
+    def _coded_lines(self) -> DataFrame:
+        """Order lines with their part, joined before the orders: the part carries
+        the selective code and specialty predicates, so only the lines that
+        pass them are shuffled to meet the orders."""
+        li = self.table("lineitem")
+        p = self.table("part")
+        return li.join(p, li.l_partkey == p.p_partkey)
+
     @cached_property
     def diagnoses(self) -> DataFrame:
-        p = self.table("part")
-        j = self._order_lines().join(p, F.col("l_partkey") == p.p_partkey)
+        j = self._order_lines(self._coded_lines())
         return j.select(F.col("o_custkey").alias("pat_id1"),
                         F.to_date(F.col("o_orderdate")).alias("appt_date"),
                         j.p_brand.alias("diag_code"), j.p_name.alias("diag_desc"))
 
     @cached_property
     def visits(self) -> DataFrame:
-        p = self.table("part")
         s = self.table("supplier")
         # The patient key is taken from the order, so a patient filter on
         # the view (semi-join, IN list) can be pushed to the orders side.
         names = self._customer_names().select(F.col("pat_id1").alias("c_key"), "pat_name")
-        j = (self._order_lines()
-             .join(p, F.col("l_partkey") == p.p_partkey)
+        j = (self._order_lines(self._coded_lines())
              .join(s, F.col("l_suppkey") == s.s_suppkey)
              .join(names, F.col("o_custkey") == names.c_key))
         return j.select(
@@ -285,13 +309,16 @@ class Bound:
             j.l_shipdate.alias("app_dttm"),
             j.o_orderdate.alias("create_dttm"),
             j.o_orderdate.alias("edit_dttm"),
-            j.l_partkey.cast("string").alias("activity"),
-            j.l_suppkey.alias("staff_id"),
+            F.concat(F.when(j.l_partkey % 17 == 0, _s("X")).when(j.l_linenumber % 2 == 0, _s("p")).otherwise(_s("P")),
+                     j.l_partkey.cast("string"),
+                     F.when(j.l_linenumber % 3 == 0, _s(" ")).otherwise(_s(""))).alias("activity"),
+            F.when(j.l_suppkey % 13 != 0, j.l_suppkey).alias("staff_id"),
             j.l_suppkey.alias("location"),
             j.l_partkey.alias("attending_md_id"),
             j.o_orderpriority.alias("notes"),
-            j.l_linestatus.alias("schstatus_hist_sd"),
-            j.o_orderstatus.alias("sysdefstatus"),
+            F.when(j.l_linenumber % 2 == 0, F.lower(j.l_linestatus)).otherwise(j.l_linestatus).alias("schstatus_hist_sd"),
+            F.when(j.l_linenumber % 2 == 0, F.concat(F.lower(j.o_orderstatus), _s(" ")))
+             .otherwise(j.o_orderstatus).alias("sysdefstatus"),
             j.o_orderpriority.alias("dept"))
 
     @cached_property
@@ -301,8 +328,8 @@ class Bound:
         stf = self.staff
         p = self.table("part")
         j = (sch.join(names, "pat_id1")
-                .join(stf, sch.staff_id == stf.staff_id)
-                .join(p, sch.attending_md_id == p.p_partkey))
+                .join(stf, sch.staff_id == stf.staff_id, "left")
+                .join(p, sch.attending_md_id == p.p_partkey, "left"))
         return j.select(
             sch.sch_id, sch.pat_id1, j.ida, j.pat_name, sch.app_dttm, sch.create_dttm,
             sch.activity, j.p_name.alias("short_desc"),
@@ -432,7 +459,7 @@ SQL_VIEWS: dict[str, str] = {
                s.s_nationkey AS location_id
         FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "v_cpt": """
-        SELECT CAST(p_partkey AS VARCHAR) AS hsp_code, p_brand AS hsp_code3, p_type AS cpt_code,
+        SELECT 'P' || CAST(p_partkey AS VARCHAR) AS hsp_code, p_brand AS hsp_code3, p_type AS cpt_code,
                p_name AS description, p_name AS short_desc
         FROM part""",
     "v_bucket_ref": f"""
@@ -472,13 +499,14 @@ SQL_VIEWS: dict[str, str] = {
                l_shipdate AS app_dttm,
                o_orderdate AS create_dttm,
                o_orderdate AS edit_dttm,
-               CAST(l_partkey AS VARCHAR) AS activity,
-               l_suppkey AS staff_id,
+               CASE WHEN l_partkey % 17 = 0 THEN 'X' WHEN l_linenumber % 2 = 0 THEN 'p' ELSE 'P' END
+                 || CAST(l_partkey AS VARCHAR) || CASE WHEN l_linenumber % 3 = 0 THEN ' ' ELSE '' END AS activity,
+               CASE WHEN l_suppkey % 13 <> 0 THEN l_suppkey END AS staff_id,
                l_suppkey AS location,
                l_partkey AS attending_md_id,
                o_orderpriority AS notes,
-               l_linestatus AS schstatus_hist_sd,
-               o_orderstatus AS sysdefstatus,
+               CASE WHEN l_linenumber % 2 = 0 THEN lower(l_linestatus) ELSE l_linestatus END AS schstatus_hist_sd,
+               CASE WHEN l_linenumber % 2 = 0 THEN lower(o_orderstatus) || ' ' ELSE o_orderstatus END AS sysdefstatus,
                o_orderpriority AS dept
         FROM order_lines""",
     "v_vw_schedule": """
@@ -489,8 +517,8 @@ SQL_VIEWS: dict[str, str] = {
                sch.attending_md_id, sch.sysdefstatus, sch.dept
         FROM v_schedule sch
         JOIN cust_names cn ON sch.pat_id1 = cn.pat_id1
-        JOIN v_staff stf ON sch.staff_id = stf.staff_id
-        JOIN part p ON sch.attending_md_id = p.p_partkey""",
+        LEFT JOIN v_staff stf ON sch.staff_id = stf.staff_id
+        LEFT JOIN part p ON sch.attending_md_id = p.p_partkey""",
     "v_event_schedule": """
         SELECT e.event_id AS sch_id, cn.pat_id1, cn.ida, cn.pat_name,
                e.ts AS app_dttm,

@@ -7,9 +7,11 @@ found, and no group is ever expanded into pairs.
 
 1. Documents with the same set are one class.
 2. Candidates. In hash order, two linking sets share at least k of their first
-   ``n - ceil(0.8 n) + k`` shingles (k = n / 5). Chunks ask buckets how many
-   classes hold each of these shingles; a class with too few shared ones links
-   with nothing. Most texts end here.
+   ``n - ceil(0.8 n) + k`` shingles (k = n / 5, of the smaller set). Chunks ask
+   buckets how many classes hold each of these shingles, and sort them rarest
+   first. Leaving out the last k - 1 there still leaves one that both sets have:
+   the prefix. A class whose prefix is all its own links with nothing; most
+   texts, also those that share a passage, end here.
 3. Signature trees. Candidates meet where their most shared prefix shingle
    is the same. A tree over the group has nodes with OR-combined token bitmaps
    (with the largest multiplicity per bit) and size ranges; a traversal of node
@@ -17,11 +19,12 @@ found, and no group is ever expanded into pairs.
    that are one component already, and checks the rest exactly.
    Groups over ``max_group`` are split by hash.
 4. A shingle is open while classes of different components have it in their
-   prefix (the first ``n - ceil(0.8 n) + 1``; linking sets share one). For two
-   rounds one pair per pair of components is checked; it joins what step 3
-   split. Then the members of every shingle still open meet in a tree of their
-   own, in blocks of at most ``max_group``. No open shingle is left out, so no
-   link is lost.
+   prefix. Where groups were split, one pair per pair of components is checked
+   for two rounds, which joins most parts again. Then the members of every
+   shingle still open meet in the tree of the shingle's leader, its member of
+   least hash: the shingles of one cluster have few leaders, so a set travels a
+   few times, not once per shingle. Groups over ``max_group`` meet in blocks. No
+   open shingle is left out, so no link is lost.
 """
 
 from __future__ import annotations
@@ -140,13 +143,13 @@ class Chunk:
         for row, asked in zip(self.rows.tolist(), self.asked.tolist()):
             s, n = shared[at:at + asked], int(self.sets.n[row])
             at += asked
-            if np.count_nonzero(s) < depth(need(n)):
+            rare = np.argsort(s, kind="stable")[:asked - depth(need(n)) + 1]    # rarest first, then least hash
+            rare = rare[s[rare] > 0]
+            if not len(rare):
                 continue
             own = self.sets.values[self.sets.first[row]:self.sets.first[row] + n]
-            prefix = own[:n - need(n) + 1][s[:n - need(n) + 1] > 0]
-            if not len(prefix):
-                continue
-            home = own[np.argmax(s)]                            # most shared, then least hash
+            prefix = own[rare]
+            home = prefix[np.argmax(s[rare])]                   # the most shared of them, then least hash
             out.append((self.sets.key[row], n, int(home.view(np.int64)), prefix.view(np.int64).tolist(), own.tobytes()))
         schema = pa.schema([("cls", pa.binary()), ("n", pa.int64()), ("home", pa.int64()), ("prefix", pa.list_(pa.int64())),
                             ("items", pa.binary())])
@@ -312,10 +315,29 @@ def _labels(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialize(out.select("cls", "prefix", F.coalesce("root", "cls").alias("label"))), stars
 
 
+def _tokens(labelled: DataFrame) -> DataFrame:
+    return labelled.select(F.explode("prefix").alias("token"), "cls", "label")
+
+
 def _open(labelled: DataFrame) -> DataFrame:
-    """Prefix shingles that classes of different components hold, with one class of two of them."""
-    t = labelled.select(F.explode("prefix").alias("token"), F.struct("label", "cls").alias("m"))
-    return t.groupBy("token").agg(F.min("m").alias("x"), F.max("m").alias("y")).filter("x.label != y.label")
+    """Prefix shingles that classes of different components hold: one class of
+    two of the components, and the leader."""
+    m = F.struct("label", "cls")
+    return _tokens(labelled).groupBy("token").agg(F.min(m).alias("x"), F.max(m).alias("y"), F.min(F.xxhash64("cls")).alias("leader")) \
+        .filter("x.label != y.label")
+
+
+def _check_pairs(pairs: DataFrame, items: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that link."""
+    ia = items.select(F.col("cls").alias("a"), F.col("items").alias("x"))
+    ib = items.select(F.col("cls").alias("b"), F.col("items").alias("y"))
+
+    def check(batches):
+        for batch in batches:
+            ok = [links(np.frombuffer(x, U64), np.frombuffer(y, U64)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.join(ia, "a").join(ib, "b").select("a", "b", "x", "y").mapInArrow(check, EDGE)
 
 
 def class_links(cand: DataFrame, max_group: int = 4096, rounds: int = 2) -> DataFrame:
@@ -324,33 +346,23 @@ def class_links(cand: DataFrame, max_group: int = 4096, rounds: int = 2) -> Data
     group = _blocks(cand.select("cls", "home", "items"), "home", max_group).withColumn("_part", _part("home"))
     edges = group.groupBy("home", "_part").applyInArrow(tree_links, EDGE)
     labelled, stars = _labels(nodes, edges)
+    if group.filter("_parts > 1").isEmpty():
+        rounds = 0
     for _ in range(rounds):
         pairs = _open(labelled).groupBy(F.col("x.label").alias("p"), F.col("y.label").alias("q")) \
             .agg(F.min(F.struct(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))).alias("ab")).select("ab.*")
         pairs = materialize(pairs.distinct())
         if pairs.isEmpty():
-            return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        ia, ib = items.select(F.col("cls").alias("a"), F.col("items").alias("x")), items.select(F.col("cls").alias("b"), F.col("items").alias("y"))
-
-        def check(batches):
-            for batch in batches:
-                ok = [links(np.frombuffer(x, U64), np.frombuffer(y, U64))
-                      for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-                yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-        more = pairs.join(ia, "a").join(ib, "b").select("a", "b", "x", "y").mapInArrow(check, EDGE)
-        labelled, stars = _labels(nodes, stars.unionByName(more))
-    open_ = materialize(_open(labelled).select("token"))
-    if open_.isEmpty():
-        return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    members = labelled.select("cls", "label", F.explode("prefix").alias("token")).join(open_, "token")
-    members = _blocks(members, "token", max_group).withColumn("_part", _part("open"))
-    # a member of part i meets the parts j >= i and j <= i: one group for each pair of parts
+            break
+        labelled, stars = _labels(nodes, stars.unionByName(_check_pairs(pairs, items)))
+    members = _tokens(labelled).join(_open(labelled).select("token", "leader"), "token").select("cls", "label", "leader").distinct()
+    members = _blocks(materialize(members), "leader", max_group).withColumn("_part", _part("open"))
+    # a member of part i meets every part j: one group for each pair of parts
     pair = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1),
                        lambda j: F.struct(F.least(j, F.col("_part")).alias("lo"), F.greatest(j, F.col("_part")).alias("hi")))
     meet = members.withColumn("pair", F.explode(pair)).withColumn("side", F.col("_part"))
-    full = meet.join(items, "cls").select("token", "pair", "side", "cls", "label", "items")
-    edges = full.groupBy("token", "pair").applyInArrow(tree_links, EDGE)
+    full = meet.join(items, "cls").select("leader", "pair", "side", "cls", "label", "items")
+    edges = full.groupBy("leader", "pair").applyInArrow(tree_links, EDGE)
     return components(stars.unionByName(edges))
 
 

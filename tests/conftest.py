@@ -7,13 +7,12 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from visitmart.session import build_session  # noqa: E402
+from visitmart.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=4, app_name="visitmart-tests",
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="visitmart-ckpt-")})
+    s = local_session(tempfile.mkdtemp(prefix="visitmart-ckpt-"), "local[4]", shuffle_partitions=4, app_name="visitmart-tests")
     yield s
     s.stop()
 

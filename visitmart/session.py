@@ -61,6 +61,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def local_session(folder: str, *args, **kw) -> SparkSession:
+    """``build_session`` on one machine (tests, benchmarks): where the defaults
+    name no checkpoint folder, ``folder`` is used."""
+    try:
+        return build_session(*args, **kw)
+    except ValueError:
+        SparkSession.getActiveSession().stop()
+        return build_session(*args, **kw | {"extra": {"spark.checkpoint.dir": folder, **kw.get("extra", {})}})
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as ``spark.checkpoint.dir`` names it.
 

@@ -7,6 +7,8 @@ whole batch of texts is hashed with a few array operations.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -66,10 +68,27 @@ def slices(offsets: np.ndarray, limit: int = 1 << 21):
         a = b
 
 
-def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span of a buffer."""
+def release() -> None:
+    """Hand memory freed by the last batch back to the system: workers live on
+    into later stages, beside an executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):                          # not glibc
+        pass
+
+
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 1 << 19) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span (in rising order) of a buffer; a
+    hash does not depend on where the span stands, so blocks are hashed alone."""
     if not len(start):
         return np.zeros(0, U64)
+    if len(raw) > block and len(start) > 1:
+        cut = np.unique(np.searchsorted(start, np.arange(block, len(raw), block)))
+        cut = [0, *cut[(cut > 0) & (cut < len(start))].tolist(), len(start)]
+        if len(cut) > 2:
+            return np.concatenate([span_hashes(raw[start[a]:end[z - 1]], start[a:z] - start[a], end[a:z] - start[a], len(raw))
+                                   for a, z in zip(cut[:-1], cut[1:])])
     p, q = powers(_P1, len(raw) + 1)
     h = np.zeros(len(raw) + 1, U64)
     np.cumsum(_BYTE[raw] * p[:-1], dtype=U64, out=h[1:])

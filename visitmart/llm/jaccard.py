@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .arrays import LOWER, U64, Words, mix64, ranges, text_buffer, window_hashes
+from .arrays import LOWER, U64, Words, mix64, ranges, release, slices, text_buffer, window_hashes
 from .components import components
 from .exchange import ASK, ask_table, low_bucket, pack_sorted, plan, split_buckets, unpack_sorted
 
@@ -93,8 +93,6 @@ def class_rows(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, t, n, cls) of every row; t is a hash of the text."""
 
     def run(batches):
-        from .arrays import slices
-
         for batch in batches:
             text = batch.column(1)
             _, off = text_buffer(text)
@@ -103,6 +101,7 @@ def class_rows(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), batch.column(2).slice(a, z - a),
                                                   pa.array(s.n.astype(np.int64)), pa.array(s.key, pa.binary())],
                                                  names=["doc_id", "t", "n", "cls"])
+            release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text"), F.xxhash64("text").alias("t")).mapInArrow(
         run, "doc_id long, t long, n long, cls binary")
@@ -281,12 +280,15 @@ def candidates(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
 
     def ask(table, got):
         chunk, c = open_(table, got)
+        release()
         return c.ask(chunk)
 
     def finish(table, got):
         _, c = open_(table, got)
         rest = got.filter(pa.array(got["bucket"].to_numpy() >= 0))
-        return c.candidates(dict(zip(rest["bucket"].to_pylist(), rest["bits"].to_pylist())))
+        out = c.candidates(dict(zip(rest["bucket"].to_pylist(), rest["bits"].to_pylist())))
+        release()
+        return out
 
     shared = (by_chunk.cogroup(reps.groupBy("chunk")).applyInArrow(ask, ASK)
               .groupBy("bucket").applyInArrow(judge, "chunk int, bucket int, bits binary"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .arrays import ngrams, slices, text_buffer
+from .arrays import ngrams, release, slices, text_buffer
 
 BITS, SIZES = 15, (2, 3, 4)
 FIXED = 1 << 20
@@ -128,6 +128,7 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], markup_right:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(4), batch.column(5), pa.array(n),
                                               lists(ll, pa.float64()), lists(part, pa.int64())],
                                              names=["key", "host", "domain", "suffix", "n_grams", "ll", "part"])
+            release()
 
     host, domain, suffix = address_levels(F.col("address"))
     kind = rows.schema["key"].dataType.simpleString()

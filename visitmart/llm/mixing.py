@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .arrays import Words, slices, text_buffer
+from .arrays import Words, release, slices, text_buffer
 
 OFFSET_STEPS = 1 << 20
 
@@ -34,8 +34,10 @@ def word_count(text: Column) -> Column:
     @F.arrow_udf("long")
     def count(column: pa.Array) -> pa.Array:
         raw, off = text_buffer(column)
-        return pa.array(np.concatenate([np.zeros(0, np.int64)] + [Words(raw[off[a]:off[z]], off[a:z + 1]).counts.astype(np.int64)
-                                                                  for a, z in slices(off)]))
+        out = pa.array(np.concatenate([np.zeros(0, np.int64)] + [Words(raw[off[a]:off[z]], off[a:z + 1]).counts.astype(np.int64)
+                                                                 for a, z in slices(off)]))
+        release()
+        return out
 
     return count(text)
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U64, mix64, ranges, slices, span_hashes, text_buffer
+from .arrays import U64, mix64, ranges, release, slices, span_hashes, text_buffer
 
 MARK = "▁"
 PAD = -1
@@ -68,7 +68,7 @@ class Pieces:
         chars = sorted({c for t in normal for c in t} - normal.keys())
         symbol = normal | {c: n + k for k, c in enumerate(chars)}        # characters only found inside pieces
         self.base = n + len(chars)                                       # base + code point: any other character
-        self.symbol_of = np.arange(0x110000, dtype=np.int64) + self.base
+        self.symbol_of = np.arange(0x110000, dtype=np.int32) + np.int32(self.base)
         for t, i in symbol.items():
             if len(t) == 1:
                 self.symbol_of[ord(t)] = i
@@ -77,7 +77,7 @@ class Pieces:
         pairs = [(symbol[t[:k]], symbol[t[k:]], i, -sp.get_score(i)) for t, i in normal.items()
                  for k in range(1, len(t)) if t[:k] in symbol and t[k:] in symbol]
         self._fill(pairs)
-        self.pair = {(a, b): (c, i) for a, b, i, c in pairs}
+        self._pairs, self._pair = pairs, None
         self.breaks = not any("\n" in t for t in normal if len(t) > 1)
         if any(a != MARK and b == MARK for t in normal for a, b in zip(t, t[1:])):
             raise ValueError("a piece crosses the border before a blank")
@@ -94,6 +94,13 @@ class Pieces:
                 slot = (slot + 1) % size
             self.key[slot], self.merged[slot], self.cost[slot] = key, i, c
 
+    @property
+    def pair(self) -> dict:
+        """(left, right) -> (cost, piece), for the heap; made when a long unit comes."""
+        if self._pair is None:
+            self._pair = {(a, b): (c, i) for a, b, i, c in self._pairs}
+        return self._pair
+
     def _slot(self, a, b):
         return ((a.astype(U64) * _K1 + b.astype(U64) * _K2) >> U64(64 - self.bits)).astype(np.int64)
 
@@ -245,7 +252,7 @@ def spell(v: Pieces, symbols: np.ndarray, length: np.ndarray):
 
 class Encoder:
     def __init__(self, path: str | None = None, rate: float = 0.1, seed: int = 1, variants: int = 4):
-        self.v, self.rate = Pieces(path or model_path()), rate
+        self.v, self.rate = vocabulary(path or model_path()), rate
         self.seed, self.variants = U64(int.from_bytes(hashlib.sha256(f"dropout:{seed}".encode()).digest()[:8], "little")), variants
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray, doc_keys: np.ndarray):
@@ -293,7 +300,7 @@ class Encoder:
 
 class Decoder:
     def __init__(self, path: str | None = None):
-        v = Pieces(path or model_path())
+        v = vocabulary(path or model_path())
         self.pool = np.frombuffer(b"".join(v.raw), np.uint8)
         self.len = np.array([len(r) for r in v.raw])
         self.first = np.cumsum(self.len) - self.len
@@ -322,7 +329,7 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
         for batch in batches:
             raw, off = text_buffer(batch.column(1))
             keys = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
-            for a, z in slices(off, 1 << 22):
+            for a, z in slices(off, 1 << 21):
                 ids, n = e.encode(raw, off[a:z + 1], keys[a:z])
                 sha = [hashlib.sha256(raw[s:t]).hexdigest() for s, t in zip(off[a:z].tolist(), off[a + 1:z + 1].tolist())]
                 ends = np.concatenate([[0], np.cumsum(n)])
@@ -332,6 +339,7 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
                     [batch.column(0).slice(a, z - a), pa.array(sha, pa.string()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())).cast(type_.field(0).type)],
                     names=["key", "text_sha256", "ids"])
+            release()
 
     slim = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"),
                      F.xxhash64(F.col(f"`{key}`").cast("string")).alias("h"))
@@ -377,12 +385,17 @@ def round_trip(df: DataFrame, key: str = "doc_id", text: str = "text", path: str
             same = pa.array([x == y for x, y in zip(sha, batch.column(1).to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(crc, pa.int64()), pa.array(sha, pa.string()), same],
                                              names=["doc_id", "n_pieces", "ids_crc32", "text_sha256", "lossless"])
+            release()
 
     enc = encode_texts(df, key, text, path, **kw)
     kind = enc.schema["key"].dataType.simpleString()
     return enc.mapInArrow(run, f"doc_id {kind}, n_pieces long, ids_crc32 long, text_sha256 string, lossless boolean")
 
 
+def vocabulary(path: str) -> Pieces:
+    return _cached(("v", path), lambda: Pieces(path))
+
+
 _made: dict = {}
 
 

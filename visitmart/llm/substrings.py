@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U64, Words, ranges, text_buffer, window_hashes
+from .arrays import U64, Words, ranges, release, text_buffer, window_hashes
 from .exchange import (ANSWER, ASK, answer_table, answers, ask_table, from_planes, low_bucket, pack_sorted, plan, planes,
                        read_flags, split_buckets, unpack_sorted)
 
@@ -193,18 +193,24 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
 
     def ask_anchors(table):
         chunk, c = one(table)
-        return c.ask_anchors(chunk)
+        out = c.ask_anchors(chunk)
+        release()
+        return out
 
     def ask_windows(table, got):
         if not table.num_rows:
             return ask_table(0, [])
         chunk, c = one(table)
-        return c.ask_windows(chunk, answers(got))
+        out = c.ask_windows(chunk, answers(got))
+        release()
+        return out
 
     def finish(table, got):
         _, c = one(table)
         kind = got["step"].to_numpy()
-        return c.result(c.covered(*(answers(got.filter(pa.array(kind == k))) for k in (1, 2))))
+        out = c.result(c.covered(*(answers(got.filter(pa.array(kind == k))) for k in (1, 2))))
+        release()
+        return out
 
     anchors = by_chunk.applyInArrow(ask_anchors, ASK).groupBy("bucket").applyInArrow(judge_anchors, ANSWER)
     windows = (by_chunk.cogroup(anchors.groupBy("chunk")).applyInArrow(ask_windows, ASK)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .arrays import ngrams, slices, text_buffer
+from .arrays import ngrams, release, slices, text_buffer
 
 BITS = 17
 SIZES = (3, 4, 5, 6)
@@ -145,6 +145,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
             raw, off = text_buffer(batch.column(1))
             z = np.clip(logits(*shared.value, raw, off), -60, 60)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-z)))], names=["doc_id", "score"])
+            release()
 
     out = docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",

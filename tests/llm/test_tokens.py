@@ -98,6 +98,29 @@ def test_words_in_turn_equal_whole_texts(tok):
         assert [ids[a:z].tolist() for a, z in zip(ends - counts, ends)] == [reference(tok, x) for x in TEXTS]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.one_of(st.characters(min_codepoint=32, max_codepoint=0x180), st.characters(exclude_categories=["Cs"])), max_size=25), max_size=60))
+def test_any_texts(texts):
+    import pyarrow as pa
+    from visitmart.llm.arrays import text_buffer
+
+    t = m.tokenizer(m.model_path())
+    ids, counts = m.append_end(*t.encode(*text_buffer(pa.array(texts, pa.string()))), 1)
+    ends = np.cumsum(counts)
+    assert [ids[a:z].tolist() for a, z in zip(ends - counts, ends)] == [reference(t.tok, x) for x in texts]
+
+
+def test_real_texts(tok):
+    """Word by word equals text by text on the test documents."""
+    import pyarrow.parquet as pq
+    from visitmart.llm.arrays import text_buffer
+
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"]
+    ids, counts = m.append_end(*m.WordTokenizer(m.model_path()).encode(*text_buffer(texts)), 1)
+    ends = np.cumsum(counts)
+    assert [ids[a:z].tolist() for a, z in zip(ends - counts, ends)] == [reference(tok, x) for x in texts.to_pylist()]
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(*r, "clash", 0) for r in rows], "doc_id long, text string, ids string, part int")
 

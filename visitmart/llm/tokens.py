@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from ..sources.sinks import scratch_dir
 from . import rangecoder as rc
-from .arrays import U64, Words, ranges, slices, text_buffer
+from .arrays import U64, Words, ranges, release, slices, text_buffer
 from .shared_files import one_task_per_file, open_file, write_file
 
 MAGIC = b"TOKRC001"
@@ -39,28 +39,79 @@ def model_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+# Characters whose pre-token the tokenizer's pattern decides alone: ASCII letters, digits and
+# signs, and the letters of Latin-1 and Latin Extended-A (lead bytes C3 to C5). An apostrophe may
+# start a contraction and "<" a special token; words with those or any other byte go alone.
+_LETTER, _DIGIT, _SIGN, _ALONE = 0, 1, 2, 3
+_KIND = np.full(256, _ALONE, np.uint8)
+_KIND[33:127] = _SIGN
+_KIND[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = _LETTER
+_KIND[48:58] = _DIGIT
+_KIND[[ord("'"), ord("<")]] = _ALONE
+# Not letters, or not one letter in lower case: multiplication and division sign, dotted I, n with apostrophe.
+_ODD_PAIRS = (0xC397, 0xC3B7, 0xC4B0, 0xC589)
+TOGETHER = 64                             # words encoded in one call
+
+
+def pre_tokens(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Number of pre-tokens of each word of a buffer of words, 0 where it must go alone."""
+    kind = _KIND[data]
+    pair = (data[:-1].astype(np.int32) << 8) | data[1:]
+    alone = kind == _ALONE
+    alone[:-1] |= np.isin(pair, _ODD_PAIRS)
+    new = kind == _DIGIT
+    new[1:] |= kind[1:] != kind[:-1]
+    new[start] = True
+    return np.where(np.add.reduceat(alone, start, dtype=np.int64) > 0, 0, np.add.reduceat(new, start, dtype=np.int64))
+
+
 class WordTokenizer:
     """Ids of texts by way of their distinct words, kept for later batches."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok, self.keep = Tokenizer.from_file(path), keep
-        self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.vocab = max(vocab.values()) + 1
+        self.ends = np.zeros(self.vocab, bool)                # ids that end a pre-token
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self):
-        self.key, self.at, self.len, self.pool = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _learn(self, keys: np.ndarray, words: list[str]):
-        got = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.array([len(x) for x in got], np.int64)
-        flat = np.fromiter((i for x in got for i in x), np.int64, int(size.sum()))
-        key, at = np.concatenate([self.key, keys]), np.concatenate([self.at, len(self.pool) + np.cumsum(size) - size])
-        order = np.argsort(key, kind="stable")
-        self.key, self.at, self.len = key[order], at[order], np.concatenate([self.len, size])[order]
-        self.pool = np.concatenate([self.pool, flat])
+        self.key, self.at, self.len = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, np.int32)
+
+    def _encode_alone(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        return np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got], np.int32)
+
+    def _encode_together(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Many words to a call, told apart again by their number of pre-tokens."""
+        groups = [b" ".join(words[i:i + TOGETHER]).decode() for i in range(0, len(words), TOGETHER)]
+        got = [e.ids for e in self.tok.encode_batch_fast(groups, add_special_tokens=False)]
+        flat = np.concatenate([np.array(x, np.int32) for x in got])
+        ends = np.flatnonzero(self.ends[flat])
+        per_group = np.add.reduceat(self.ends[flat], np.cumsum([0] + [len(x) for x in got[:-1]]), dtype=np.int64)
+        if (per_group != np.add.reduceat(counts, np.arange(0, len(words), TOGETHER))).any():
+            return self._encode_alone(words)                  # the pattern is not the expected one
+        last = ends[np.cumsum(counts) - 1]
+        return flat, np.diff(last, prepend=-1).astype(np.int32)
+
+    def _learn(self, keys: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray):
+        lens = end - start
+        counts = pre_tokens(raw[ranges(start, lens)], np.cumsum(lens) - lens)
+        data = raw.tobytes()
+        at, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int32)
+        for rows, encode in ((np.flatnonzero(counts), self._encode_together), (np.flatnonzero(counts == 0), None)):
+            if len(rows):
+                words = [data[a:z] for a, z in zip(start[rows].tolist(), end[rows].tolist())]
+                flat, n = encode(words, counts[rows]) if encode else self._encode_alone(words)
+                at[rows], size[rows] = len(self.pool) + np.cumsum(n, dtype=np.int64) - n, n
+                self.pool = np.concatenate([self.pool, flat])
+        slot = np.searchsorted(self.key, keys)
+        self.key, self.at, self.len = np.insert(self.key, slot, keys), np.insert(self.at, slot, at), np.insert(self.len, slot, size)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids of each row)."""
@@ -73,13 +124,12 @@ class WordTokenizer:
         if len(self.key):
             new = self.key[np.minimum(slot, len(self.key) - 1)] != keys
         if new.any():
-            data = raw.tobytes()
-            self._learn(keys[new], [data[a:z].decode("utf-8", "replace") for a, z in zip(w.start[where[new]].tolist(), w.end[where[new]].tolist())])
+            self._learn(keys[new], raw, w.start[where[new]], w.end[where[new]])
             slot = np.searchsorted(self.key, keys)
         slot = slot[which]
-        size = self.len[slot] if len(slot) else np.zeros(0, np.int64)
+        size = self.len[slot].astype(np.int64) if len(slot) else np.zeros(0, np.int64)
         total = np.concatenate([[0], np.cumsum(size)])
-        ids = self.pool[ranges(self.at[slot], size)] if len(slot) else np.zeros(0, np.int64)
+        ids = self.pool[ranges(self.at[slot], size)] if len(slot) else np.zeros(0, np.int32)
         return ids, total[w.row_end] - total[w.row_start]
 
 
@@ -94,7 +144,7 @@ def tokenizer(path: str) -> WordTokenizer:
 
 def append_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """One end id after each row."""
-    out = np.full(len(ids) + len(counts), end, np.int64)
+    out = np.full(len(ids) + len(counts), end, np.int32)
     keep = np.ones(len(out), bool)
     keep[np.cumsum(counts) + np.arange(len(counts))] = False
     out[keep] = ids
@@ -114,7 +164,7 @@ def file_chunks(batches, tok: WordTokenizer, end: int, tally: dict):
         for a, z in slices(off, 1 << 22):
             ids, counts = append_end(*tok.encode(raw[off[a]:off[z]], off[a:z + 1] - off[a]), end)
             lengths.append(counts)
-            held.append(ids.astype(np.int32))
+            held.append(ids)
             n_held += len(ids)
             if n_held >= full:
                 ids = np.concatenate(held)
@@ -183,6 +233,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end: int
 
         tally: dict = {}
         uri = write_file(folder, ".tok", file_chunks(every(), tokenizer(path), end, tally))
+        release()
         yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int64()), "uri": [uri],
                                           "docs": pa.array([tally["docs"]], pa.int64()), "tokens": pa.array([tally["tokens"]], pa.int64())})
 
@@ -212,6 +263,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                         held, base, done = held[end[ready - 1] - base:], int(end[ready - 1]), ready
                 if done != len(ids) or len(held):
                     raise ValueError(f"{uri}: blocks and footer disagree")
+                release()
 
     return one_task_per_file(manifest.select("part", "uri"), "uri").mapInArrow(read, "part long, doc_id long, at long, ids binary")
 

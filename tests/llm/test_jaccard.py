@@ -131,6 +131,17 @@ def test_tree_against_all_pairs(seed):
         assert [a.index(x) for x in a] == [b.index(x) for x in b]
 
 
+@pytest.mark.parametrize("copies", [2, 20])
+def test_tree_links_near_copies_of_long_documents(copies):
+    """Over 255 shingles to a bit; 20 copies are more than a leaf."""
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(1, 2**63, 165_000).astype(U64) * U64(2))
+    sets = [np.delete(base, rng.integers(0, len(base), 50)) for _ in range(copies)]
+    assert all(len(s) > 160_000 for s in sets) and m.links(sets[0], sets[1])
+    got = m.Tree(sets).join()
+    assert len(got) == copies - 1 and all(m.links(sets[i], sets[j]) for i, j in got)
+
+
 def test_candidate_bounds():
     """Linking sets share at least k of their first asked shingles."""
     rng = np.random.default_rng(5)

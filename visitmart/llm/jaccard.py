@@ -188,7 +188,8 @@ class Tree:
         order = sorted(range(len(sets)), key=lambda i: (sets[i][0], len(sets[i])))     # alike sets side by side
         self.ids, self.sets = order, [sets[i] for i in order]
         self.size = np.array([len(s) for s in self.sets])
-        self.bits = np.stack([np.minimum(np.bincount((s >> U64(55)).astype(np.int64), minlength=BITS), 255).astype(np.uint8) for s in self.sets])
+        bits = np.stack([np.bincount((s >> U64(55)).astype(np.int64), minlength=BITS) for s in self.sets])
+        self.bits = bits.astype(np.min_scalar_type(bits.max()))    # wide enough for every multiplicity: a cut one is no bound
         known: dict = {}
         self.comp = np.array([known.setdefault(labels[i], k) if labels is not None else k for k, i in enumerate(order)])
         self.side = None if side is None else side[order]     # only pairs of different sides, if given

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from visitmart.llm import exchange
 from visitmart.llm import substrings as m
@@ -81,6 +82,14 @@ def test_plan_grows_with_the_texts(spark):
     assert chunks >= 100 and 1 <= buckets <= chunks
 
 
+def test_chunks_and_buckets_stay_small(spark):
+    """1.2 GB in 120 rows, and 20 MB: the same bytes to a chunk and to a bucket, at most."""
+    for rows, size in ((120, 10_000_000), (20, 1_000_000)):
+        df = spark.range(rows).select(F.repeat(F.lit("x"), (F.col("id") * 0 + size).cast("int")).alias("text"))
+        chunks, buckets = exchange.plan(df)
+        assert rows * size / chunks <= 2 << 20 and rows * size / buckets <= 16 << 20
+
+
 def test_texts_are_dealt_out_once(spark):
     df = spark.createDataFrame([(i, f"a b {i}") for i in range(50)], "doc_id long, text string")
     out = m.remove_repeats(df)

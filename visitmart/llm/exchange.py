@@ -18,6 +18,7 @@ from .arrays import U64
 
 ASK = "bucket int, chunk int, n long, payload binary"
 ANSWER = "chunk int, bucket int, bits binary"
+CHUNK = 2 << 20
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -39,11 +40,13 @@ def unpack_sorted(data: bytes, n: int, dtype) -> np.ndarray:
     return np.cumsum(from_planes(data, n, dtype), dtype=dtype)
 
 
-def plan(docs: DataFrame, text: str = "text", least: int = 2 << 20, most: int = 64 << 20, chunks_per_bucket: int = 8):
-    """(number of chunks, number of buckets) for the bytes of all texts."""
+def plan(docs: DataFrame, text: str = "text", least: int = CHUNK, most: int = CHUNK, chunks_per_bucket: int = 8):
+    """(number of chunks, number of buckets) for the bytes of all texts. A chunk is
+    as large at 30 GB as at 30 MB, and a bucket sees at most ``chunks_per_bucket``
+    of them, so that a task's memory does not grow with the input."""
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    chunks = max(1, int(total // min(most, max(least, total // 256))))
-    return chunks, max(1, chunks // chunks_per_bucket)
+    chunks = max(1, -(-total // min(most, max(least, total // 256))))
+    return chunks, -(-chunks // chunks_per_bucket)
 
 
 def split_buckets(bucket: np.ndarray, n_buckets: int):

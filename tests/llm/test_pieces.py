@@ -61,6 +61,25 @@ def test_seeded_and_varied():
     assert none < sum(map(len, a)) < full
 
 
+def test_every_occurrence_is_drawn_for_itself():
+    ids, _, _ = encode([" ".join(["understanding"] * 400)] * 5, rate=0.3)
+    end, at, ways = np.cumsum(m.Decoder().len[ids]), 0, set()
+    for k in np.flatnonzero(end % 14 == 0) + 1:              # a word and the blank before it are 14 bytes
+        ways.add(tuple(ids[at:k].tolist()))
+        at = k
+    assert len(ways) > 40
+
+
+def test_copies_of_a_row_differ(spark):
+    rows = [(1, "international understanding of straightforward reasoning " * 20)] * 3 + [(2, "once"), (None, None), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got, again = (sorted(((r.key, r.text_sha256, r.ids) for r in m.encode_texts(x, rate=0.3).collect()), key=str)
+                  for x in (df, df.repartition(3, "text").union(df.limit(0))))
+    assert got == again and len(got) == len(rows)
+    assert len({tuple(ids) for key, _, ids in got if key == 1}) == 3
+    assert all(r.lossless for r in m.round_trip(df).collect())
+
+
 def frame(spark):
     return spark.createDataFrame([(i, t, "clash", 0) for i, t in enumerate(TEXTS)] + [(0, "", "x", 1), (None, "null id", None, None)],
                                  "doc_id long, text string, ids string, key int")

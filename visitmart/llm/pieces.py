@@ -4,17 +4,17 @@ A text is cut into units (blanks and the run of other characters after them;
 no piece of the vocabulary crosses a unit's border). In a unit the agenda holds
 every adjacent pair whose concatenation is a piece; the best score goes first,
 the leftmost of equals. Each candidate is skipped when a keyed hash of (seed,
-unit, variant, start, piece) falls below the dropout rate, so the same seed
-always gives the same segmentation, and which of the ``variants`` a unit takes
-depends on the document and the unit's place. With rate 0 the result is
-SentencePiece's own.
+document, place of the unit, start, piece) falls below the dropout rate: every
+occurrence of a word is drawn for itself, and the same seed always gives the same
+segmentation. A document is its key, its text and, where rows repeat, the number
+of the copy. With rate 0 the result is SentencePiece's own.
 
 Whatever was skipped, the pieces still spell the unit, so decoding is exact.
 Two things SentencePiece itself loses are kept: a literal U+2581 is encoded by
 its bytes, and the blank put before each text is taken off again by count.
 
-Distinct (unit, variant) pairs of a slice are merged together, one agenda step
-for all of them at a time; long units run through a heap instead.
+The units of a slice are merged together, one agenda step for all of them at a
+time (with rate 0 each distinct unit once); long units run through a heap instead.
 """
 
 from __future__ import annotations
@@ -251,9 +251,9 @@ def spell(v: Pieces, symbols: np.ndarray, length: np.ndarray):
 
 
 class Encoder:
-    def __init__(self, path: str | None = None, rate: float = 0.1, seed: int = 1, variants: int = 4):
+    def __init__(self, path: str | None = None, rate: float = 0.1, seed: int = 1):
         self.v, self.rate = vocabulary(path or model_path()), rate
-        self.seed, self.variants = U64(int.from_bytes(hashlib.sha256(f"dropout:{seed}".encode()).digest()[:8], "little")), variants
+        self.seed = U64(int.from_bytes(hashlib.sha256(f"dropout:{seed}".encode()).digest()[:8], "little"))
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray, doc_keys: np.ndarray):
         """UTF-8 rows -> (flat ids, ids of each row). doc_keys: 64 bits per row."""
@@ -276,15 +276,13 @@ class Encoder:
         cut[start] = True
         at = np.flatnonzero(cut)
         end = np.append(at[1:], len(b))
-        unit = span_hashes(b, at, end)
-        row = np.searchsorted(start, at, "right") - 1
-        if self.rate > 0 and self.variants > 1:
+        if self.rate > 0:
+            row = np.searchsorted(start, at, "right") - 1
             place = (np.arange(len(at)) - np.searchsorted(at, start)[row]).astype(U64)
-            pick = mix64(doc_keys[full][row] + place * _K1 + self.seed) % U64(self.variants)
+            key = mix64(mix64(doc_keys[full] + self.seed)[row] + place * _K1)
+            where = which = np.arange(len(at))
         else:
-            pick = np.zeros(len(at), U64)
-        key = mix64(unit + (pick + U64(1)) * _K2 + self.seed)
-        key, where, which = np.unique(key, return_index=True, return_inverse=True)
+            key, where, which = np.unique(span_hashes(b, at, end), return_index=True, return_inverse=True)
         lens = end[where] - at[where]
         data = b[ranges(at[where], lens)]
         points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -314,18 +312,19 @@ class Decoder:
 
 
 def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, rate: float = 0.1,
-                 seed: int = 1, variants: int = 4) -> DataFrame:
+                 seed: int = 1) -> DataFrame:
     """(key, text_sha256 of the input, ids) for each row. Null text: no ids.
 
-    Rows with the same key and text get the same segmentation. Columns besides
-    key and text are not read. Empty table: no rows.
+    Rows with the same key and text are copies, numbered from 0; each has its own
+    segmentation, and which row is which copy makes no difference. Columns
+    besides key and text are not read. Empty table: no rows.
     """
     path = path or model_path()
     kind = df.schema[key].dataType.simpleString()
     type_ = pa.schema([("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        e = _cached(("e", path, rate, seed, variants), lambda: Encoder(path, rate, seed, variants))
+        e = _cached(("e", path, rate, seed), lambda: Encoder(path, rate, seed))
         for batch in batches:
             raw, off = text_buffer(batch.column(1))
             keys = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
@@ -341,8 +340,12 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
                     names=["key", "text_sha256", "ids"])
             release()
 
-    slim = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"),
-                     F.xxhash64(F.col(f"`{key}`").cast("string")).alias("h"))
+    slim, copy = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), F.lit(0)
+    if rate > 0 and not slim.groupBy("key").count().filter("count > 1").isEmpty():
+        copy = F.explode(F.sequence(F.lit(0), F.col("count").cast("int") - 1))
+        slim = slim.groupBy("key", "text").count()             # copies are counted before they shuffle
+    slim = slim.select("key", "text", copy.alias("copy"))
+    slim = slim.select("key", "text", F.xxhash64(F.col("key").cast("string"), "text", "copy").alias("h"))
     return slim.mapInArrow(run, f"key {kind}, text_sha256 string, ids array<int>")
 
 

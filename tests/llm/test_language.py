@@ -92,6 +92,13 @@ def test_accuracy_on_rows_not_trained_on(spark):
     assert sum(r.lang == truth[r.key] for r in got) >= 0.95 * len(new)
 
 
+def test_rare_languages_stay_in_the_model(spark):
+    """However many rows the common languages have, and where a language's rows share an id."""
+    rows = [(i, "the and of house", "en") for i in range(3000)] + [(None, "le et dans", "fr")] * 40 + [(5000 + i, "der und nicht", f"x{i}") for i in range(8)]
+    langs, logp = m.fit(spark.createDataFrame(rows, "id long, text string, lang string"), sample_rows=20)
+    assert langs == sorted({lang for _, _, lang in rows}) and len(logp) == 10
+
+
 def test_stage_keeps_clean_rows_and_columns(spark):
     docs = spark.createDataFrame([(i, t, lang, s, 3) for i, t, lang, s in corpus()] + [(500, None, None, None, 0), (501, " \n", "en", "src1", 2)],
                                  "doc_id long, text string, lang string, source string, n_grams int")

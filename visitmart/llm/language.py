@@ -46,11 +46,14 @@ def gram_counts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def fit(labelled: DataFrame, sample_rows: int = 20_000) -> tuple[list[str], np.ndarray]:
     """Languages and log p(n-gram | language) from (id, text, lang) rows, on a
-    sample by id hash of about ``sample_rows`` rows (all, if there are fewer)."""
+    sample by id hash of about ``sample_rows`` rows of each language (all, if there
+    are fewer). The least hash of a language is always in, so none is lost."""
     rows = labelled.filter(F.col("lang").isNotNull() & (F.col("lang") != "") & F.col("text").isNotNull())
-    n = rows.count()
-    if n > sample_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * sample_rows / n))
+    h, n = F.shiftrightunsigned(F.xxhash64("id"), 11), F.col("n")                        # 53 bits
+    limits = materialize(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(h).alias("least"))
+                         .select("lang", F.when(n <= sample_rows, F.lit(1 << 53))
+                                 .otherwise(F.greatest("least", (F.lit(float(sample_rows << 53)) / n).cast("long"))).alias("limit")))
+    rows = rows.join(F.broadcast(limits), "lang").filter(h <= F.col("limit"))              # one row per language
 
     def count(batches):
         total: dict[str, np.ndarray] = {}

@@ -8,7 +8,7 @@ from visitmart.llm.registry import QUERIES, SQL
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == [*range(1, 11), 13]
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "jaccard_join", "mixing", "sentencepiece"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .jaccard import op6_jaccard_join
 from .language import op4_language_id
+from .merkle import OP13_SQL, op13_merkle_manifest
 from .mixing import OP8_SQL, op8_mixing
 from .pieces import op3_sentencepiece
 from .substrings import OP5_SQL, op5_substring_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 SQL = {
     "op1_exact_dedup": OP1_SQL,
@@ -31,4 +33,5 @@ SQL = {
     "op7_top_k": OP7_SQL,
     "op8_mixing": OP8_SQL,
     "op10_warc": OP10_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }

@@ -24,10 +24,11 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .ordered import before, in_order, running
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 STRATUM = 12
@@ -125,36 +126,6 @@ def fold(digest: bytes, i: int, siblings: list[bytes | None]) -> bytes:
     return digest
 
 
-# -- positions ---------------------------------------------------------------
-
-def before(runs: DataFrame, key: str, block: int = 1024) -> DataFrame:
-    """``runs`` (part, key, n) plus ``start``, the sum of n over smaller parts of the
-    key, and ``total``. Summed in two levels, so no task sees all parts of a key."""
-    runs = runs.withColumn("_block", F.floor(F.col("part") / block))
-    inner = Window.partitionBy(key, "_block").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = runs.groupBy(key, "_block").agg(F.sum("n").alias("_n"))
-    sums = sums.select(key, "_block", F.coalesce(F.sum("_n").over(outer), F.lit(0)).alias("_at"),
-                       F.sum("_n").over(Window.partitionBy(key)).alias("total"))
-    return runs.withColumn("_in", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(sums, [key, "_block"]) \
-        .withColumn("start", F.col("_at") + F.col("_in")).drop("_block", "_in", "_at")
-
-
-def in_order(df: DataFrame, order: list[str], n_rows: int, rows_per_part: int) -> DataFrame:
-    """``df`` sorted into parts by range, written, with ``part`` and ``at``, the place in the part."""
-    df = df.repartitionByRange(max(1, -(-n_rows // rows_per_part)), *order).sortWithinPartitions(*order)
-    return materialize(df.withColumn("_at", F.monotonically_increasing_id())
-                       .withColumn("part", F.shiftright("_at", 33).cast("int"))
-                       .withColumn("at", F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at"))
-
-
-def tree_numbers(totals: DataFrame, rows_per_part: int) -> DataFrame:
-    """(tree, t, total): the trees numbered in order."""
-    totals = in_order(totals, ["tree"], totals.count(), rows_per_part).withColumn("all", F.lit(0))
-    parts = before(totals.groupBy("all", "part").agg(F.count("*").alias("n")), "all")
-    return materialize(totals.join(parts.select("part", "start"), "part").select("tree", (F.col("start") + F.col("at")).alias("t"), "total"))
-
-
 # -- the manifest ------------------------------------------------------------
 
 NODE = "t long, level int, index long, digest binary"
@@ -286,8 +257,9 @@ def manifest(docs: DataFrame, fields: tuple = FIELDS, id_col: str = "doc_id", tr
         leaf_digest([col[f] for f in fields]).alias("leaf"), change.alias("altered"), F.monotonically_increasing_id().alias("row")))
     rows = in_order(leaves, ["tree", "id", "leaf", "row"], leaves.count(), rows_per_part)
     runs = materialize(before(rows.groupBy("part", "tree").agg(F.count("*").alias("n"), F.min("at").alias("first")), "tree"))
-    numbers = tree_numbers(runs.groupBy("tree").agg(F.sum("n").alias("total")), rows_per_part)
-    trees = numbers.count()
+    totals = runs.groupBy("tree").agg(F.sum("n").alias("total"), F.lit(1).alias("one"))
+    trees = totals.count()
+    numbers = materialize(running(totals, ["tree"], "one", trees, rows_per_part).select("tree", F.col("start").alias("t"), "total"))
     runs = materialize(runs.join(numbers.select("tree", "t"), "tree").select("part", "t", "first", "n", "start", "total")
                        .withColumn("trees", F.lit(trees).cast("long")))
     by_part = rows.select("part", "at", "id", "leaf", "altered").groupBy("part")

@@ -37,8 +37,6 @@ SQL = {
     "op7_top_k": OP7_SQL,
     "op8_mixing": OP8_SQL,
     "op10_warc": OP10_SQL,
-    "op11_lexical_search": op11_lexical_search,
-    "op12_simhash": op12_simhash,
     "op11_lexical_search": OP11_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ColumnOrName = Column | str
 
@@ -57,6 +58,33 @@ def fold_literal(value: str) -> str:
     return value.rstrip(" ").lower()
 
 
+# Spark's string collation with the source's rules: any case, trailing blanks ignored.
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def group_ci(df: DataFrame, keys: Iterable[str], *aggs: Column) -> DataFrame:
+    """A8 ``GROUP BY`` under the source collation: text keys are grouped as collated
+    strings, so spellings that differ in case or trailing blanks are one group.
+
+    The source shows any spelling; here it is the group's least row of text keys
+    by bytes, so a spelling always comes from one input row and reruns agree. NULL
+    is a group of its own, apart from blank text.
+    """
+    keys = list(keys)
+    texts = [k for k in keys if isinstance(df.schema[k].dataType, StringType)]
+    by = [F.collate(F.col(f"`{k}`"), COLLATION).alias(f"_key{i}") if k in texts else F.col(f"`{k}`") for i, k in enumerate(keys)]
+    shown = [F.min(F.struct(*(F.col(f"`{k}`") for k in texts))).alias("_shown")] if texts else []
+    aggs = [*shown, *aggs]
+    out = df.groupBy(*by).agg(*aggs) if aggs else df.select(*by).distinct()
+    return out.select(*(F.col(f"_shown.`{k}`").alias(k) if k in texts else F.col(f"`{k}`") for k in keys),
+                      *(F.col(f"`{c}`") for c in out.columns[len(keys) + len(shown):]))
+
+
+def distinct_ci(df: DataFrame) -> DataFrame:
+    """A9, O6 ``DISTINCT`` under the source collation; see ``group_ci``."""
+    return group_ci(df, df.columns)
+
+
 def eq_ci(x: ColumnOrName, value: str) -> Column:
     """Case-insensitive, trailing-blank-insensitive equality with a literal."""
     return fold(x) == F.lit(fold_literal(value))

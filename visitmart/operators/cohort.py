@@ -21,7 +21,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_ci, eq_ci, fold, fold_literal, non_blank
+from ..functions.text import contains_ci, distinct_ci, eq_ci, fold, fold_literal, non_blank
 from ..functions.timewin import ts_literal
 
 COHORT_COLUMNS = ("patient_name", "pat_id1", "earliest_diag_date", "appt_dt", "pat_mrn", "np_ind")
@@ -135,11 +135,12 @@ def single_visit_review(visits: DataFrame, single: DataFrame, ordered: bool = Tr
 
 
 def cohort_union(new_patients: DataFrame, existing: DataFrame, excluded_ids=()) -> DataFrame:
-    """J2 UNION J3; the manual id exclusion binds to the J3 branch only."""
+    """J2 UNION J3; the manual id exclusion binds to the J3 branch only.
+    Spellings that the collation holds equal are one row (O6)."""
     second = existing
     if excluded_ids:
         second = existing.filter(~F.col("pat_id1").isin(list(excluded_ids)))
-    return new_patients.select(*COHORT_COLUMNS).unionByName(second.select(*COHORT_COLUMNS)).distinct()
+    return distinct_ci(new_patients.select(*COHORT_COLUMNS).unionByName(second.select(*COHORT_COLUMNS)))
 
 
 def mailing_list(cohort: DataFrame, admin: DataFrame, patient: DataFrame, ident: DataFrame,

@@ -27,7 +27,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (comma_to_space, contains_ci, eq_ci, fold, fold_literal, in_ci,
+from ..functions.text import (comma_to_space, contains_ci, distinct_ci, eq_ci, fold, fold_literal, group_ci, in_ci,
                               not_in_ci, quote_name, startswith_ci)
 from ..functions.timewin import (age_years, as_date, as_datetime, day_diff, day_window_half_open, ts_literal,
                                  day_window_inclusive, fmt_mdy, month_to_date,
@@ -100,7 +100,8 @@ def bumps(schedule: DataFrame, patient: DataFrame, ident: DataFrame, staff: Data
     uses the true earliest edit. Deleted versions are included on purpose.
     The month's rows at the location are small; ``keep`` (a temp table in
     production) holds them so the patient and staff dimensions can be cut
-    to their keys before the left joins.
+    to their keys before the left joins. Spellings of an activity or a name that
+    differ in case or trailing blanks are one group, with one earliest edit.
     """
     loc = staff.filter(eq_ci("last_name", location_name)).select(F.col("staff_id").alias("location"))
     base = keep(schedule.filter(month_to_date("app_dttm", as_of, include_last_day))
@@ -113,13 +114,12 @@ def bumps(schedule: DataFrame, patient: DataFrame, ident: DataFrame, staff: Data
     s = (base.join(pats, "pat_id1", "left")
              .join(idn, "pat_key", "left")
              .join(prov, "staff_id", "left"))
-    g = s.groupBy("app_dttm", "pat_key", "ida", "activity", "prov_first", "prov_last", "pname").agg(
-        F.min(fmt_mdy("edit_dttm")).alias("min_edit_text"),
-        F.min("edit_dttm").alias("min_edit"))
+    g = group_ci(s, ["app_dttm", "pat_key", "ida", "activity", "prov_first", "prov_last", "pname"],
+                 F.min(fmt_mdy("edit_dttm")).alias("min_edit_text"), F.min("edit_dttm").alias("min_edit"))
     provider = F.concat(F.rtrim(F.coalesce("prov_first", F.lit(""))), F.lit(" "),
                         F.rtrim(F.coalesce("prov_last", F.lit(""))))
     edit = F.col("min_edit_text") if literal_min else fmt_mdy("min_edit")
-    out = g.select(
+    out = distinct_ci(g.select(
         quote_name(F.coalesce("pname", F.lit(""))).alias("PATIENT"),
         comma_to_space("ida").alias("MRN"),
         comma_to_space("activity").alias("ACTIVITY"),
@@ -127,7 +127,7 @@ def bumps(schedule: DataFrame, patient: DataFrame, ident: DataFrame, staff: Data
         edit.alias("EDIT_DATE"),
         fmt_mdy("app_dttm").alias("APPT_DATE"),
         day_diff("min_edit", "app_dttm").alias("CALCULATED_DAYS"),
-    ).distinct()
+    ))
     return _sorted(out, ordered, "APPT_DATE", "MRN")
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import eq_ci, null_safe_concat, quote_name, startswith_ci
+from ..functions.text import distinct_ci, eq_ci, null_safe_concat, quote_name, startswith_ci
 from ..functions.timewin import fmt_ymd_compact
 from ..params import VolumeSpec
 
@@ -86,4 +86,4 @@ def specialty_volumes(visits: DataFrame, profile: DataFrame, prompt: DataFrame,
         cols.append(F.coalesce(F.col("gender"), F.lit(" ")).alias("Gender"))
     if spec.referral:
         cols += [referring_md().alias("ReferringMD"), "ReferringFacility"]
-    return j.select(*cols).distinct()
+    return distinct_ci(j.select(*cols))

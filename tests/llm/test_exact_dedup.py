@@ -52,3 +52,11 @@ def test_pass_through_does_not_shuffle_rows(spark):
     table = m.digests(frame(spark, rows))
     split = m.split_repeats(table, 500, 16, 1 << 20)
     assert split.filter("_maybe").count() < 10
+
+
+def test_least_and_greatest_ids(spark):
+    least, most = -2**63, 2**63 - 1
+    rows = [(least, "a b"), (most, "ab"), (0, "a b"), (most, "x"), (-1, "x"), (None, "x")]
+    got = m.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got.collect()), key=str) == sorted(
+        [(least, least, 3, True), (most, least, 3, False), (0, least, 3, False), (most, -1, 3, False), (-1, -1, 3, True), (None, -1, 3, False)], key=str)

@@ -142,12 +142,12 @@ def exact_dedup(df: DataFrame, text: str = "text", id_col: str = "doc_id", bits_
     split = split_repeats(table, table.count(), bits_per_key, max_filter_bytes)
     alone = split.filter(~F.col("_maybe"))
     maybe = split.filter("_maybe")
-    best = F.max(F.struct("n_cp", F.col("_id").isNotNull().alias("has"), (-F.col("_id")).alias("neg"),
+    best = F.max(F.struct("n_cp", F.col("_id").isNotNull().alias("has"), F.bitwise_not("_id").alias("neg"),
                           (-F.col("_row")).alias("neg_row")))
     groups = maybe.groupBy(F.col("sha").alias("g")).agg(F.count("*").alias("n"), best.alias("best"))
     # Written first: both sides of the join are then plain exchanges, and a hot text's rows can be split.
     joined = maybe.join(materialize(groups), F.col("sha") == F.col("g")).select(
-        F.col("_id").alias("doc_id"), (-F.col("best.neg")).alias("keep_id"), F.col("n").alias("group_size"),
+        F.col("_id").alias("doc_id"), F.bitwise_not("best.neg").alias("keep_id"), F.col("n").alias("group_size"),
         (-F.col("best.neg_row") == F.col("_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
     return joined.unionByName(alone.select(
         F.col("_id").alias("doc_id"), F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),

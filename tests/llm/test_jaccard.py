@@ -161,3 +161,12 @@ def test_sets_against_brute_force():
     s = m.Sets(pa.array(texts), 5)
     assert s.n.tolist() == [len(shingles(t)) for t in texts]
     assert m.Sets(pa.array(["a  B c\td e"]), 5).key == m.Sets(pa.array(["A b c d E "]), 5).key
+
+
+def test_int_ids_over_several_chunks(spark, monkeypatch):
+    monkeypatch.setattr(m, "plan", lambda docs: (3, 2))
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z "
+    rows = [(i, text * 3 + f"tail{i}") for i in range(6)] + [(9, "quite another text of more than five words")]
+    for t in ("int", "long"):
+        got = m.jaccard_components(spark.createDataFrame(rows, f"doc_id {t}, text string"))
+        assert {r.doc_id: r.component_id for r in got.collect()} == {**dict.fromkeys(range(6), 0), 9: 9}, t

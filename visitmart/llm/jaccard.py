@@ -270,9 +270,10 @@ EDGE = "a binary, b binary"
 
 def candidates(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """Classes that may link: cls, n, home, prefix, items. Texts are dealt to chunks once."""
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))     # one type, and so one hash, on both sides
     n_chunks, n_buckets = plan(docs)
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).cast("int").alias("chunk")
-    by_chunk = docs.select(chunk, F.col("doc_id").cast("long"), F.col("text")).groupBy("chunk")
+    by_chunk = docs.select(chunk, "doc_id", "text").groupBy("chunk")
     reps = classes.filter("n > 0").select(chunk, F.lit(-1).alias("bucket"), F.col("cls").alias("bits"))
 
     def open_(table, got):

@@ -91,3 +91,14 @@ def test_word_count(spark):
 
 def test_empty(spark):
     assert m.mix(docs(spark, [])).collect() == []
+
+
+def test_input_order_does_not_change_rows_of_null_or_equal_ids(spark):
+    rows = [(i, " ".join(["w"] * n) + t, "s") for i in (None, 7) for n in (8, 9) for t in [""] + [f" x{k}" for k in range(12)]]
+    rows += [(1, "big " * 40, "t")]
+    schema = "doc_id long, text string, source string, m map<string,int>, `a.b` string"
+    seen = []
+    for order in (rows, rows[::-1], rows[1::2] + rows[::2]):
+        df = spark.createDataFrame([(*r, {"k": 1}, "z") for r in order], schema).repartition(3)
+        seen.append(sorted(map(str, ((r.doc_id, r.text) for r in m.mixed_rows(df).collect()))))
+    assert seen[0] == seen[1] == seen[2] and seen[0]

@@ -94,6 +94,7 @@ def mix(docs: DataFrame, seed: int = 17, weights=(1, 2, 3), max_copies: int = 3,
                 .withColumn("source", F.col("_r.source"))
                 .withColumn("cls", size_class(F.col("size")))
                 .withColumn("h", unit_hash(F.coalesce(F.col("_r.doc_id").cast("string"), F.lit("")), seed)))
+    plain = [F.col(f"_r.`{c}`") for c, t in docs.dtypes if not t.startswith(("map", "array", "struct", "variant"))]
     span = (1 << 60) // buckets + 1
     rows = rows.withColumn("b", F.floor(F.col("h") / F.lit(span)).cast("long") if buckets > 1 else F.lit(0).cast("long"))
     cells = materialize(rows.groupBy("source", "cls", "b").agg(F.count("*").alias("n"), F.sum("size").alias("words")))
@@ -103,7 +104,7 @@ def mix(docs: DataFrame, seed: int = 17, weights=(1, 2, 3), max_copies: int = 3,
         F.col("source").alias("s1"), F.col("cls").alias("c1"), F.col("b").alias("b1"), "first")
     cell_info = materialize(placed.join(targets, F.col("s1").eqNullSafe(F.col("source")))
                             .select("s1", "c1", "b1", "first", "source_size", "target"))
-    local = Window.partitionBy("source", "cls", "b").orderBy("h", F.col("_r.doc_id"))
+    local = Window.partitionBy("source", "cls", "b").orderBy("h", F.col("_r.doc_id"), "size", F.xxhash64(*plain))
     ranked = rows.withColumn("local", F.row_number().over(local))
     joined = ranked.join(cell_info, F.col("source").eqNullSafe(F.col("s1")) & (F.col("cls") == F.col("c1"))
                          & (F.col("b") == F.col("b1")))

@@ -79,3 +79,10 @@ def test_tree_against_brute_force_with_ties():
         want = sorted((-int(a @ q), int(i)) for a, i in zip(v, ids) if i != own)[:4]
         for floor in (None, -want[-1][0]):
             assert tree.search(q, 4, int(own), floor) == [(-s, i) for s, i in want]
+
+
+@pytest.mark.parametrize("x", [1e300, -1e300, 3e5])
+def test_components_beyond_the_range_are_an_error_and_no_wrong_score(spark, x):
+    table = spark.createDataFrame([(0, [1.0, x]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="scaled component"):
+        m.quantised(table, "vec_id", "embedding", 256).collect()

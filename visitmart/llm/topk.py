@@ -121,10 +121,12 @@ def quantised(table: DataFrame, id_col: str, vector: str, scale: int) -> DataFra
             bad = np.concatenate([[0], np.cumsum(~np.isfinite(x))])
             ok = (bad[off[1:]] == bad[off[:-1]]) & (size > 0) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
             with np.errstate(invalid="ignore"):
-                q = np.floor(np.where(np.isfinite(x), x, 0) * float(scale)).astype(np.int64)
+                scaled = np.floor(np.where(np.isfinite(x), x, 0) * float(scale))
             keep = np.flatnonzero(ok)
-            if len(q) and np.abs(q[np.repeat(ok, size)]).max(initial=0) >= 1 << 26:
+            if np.abs(scaled[np.repeat(ok, size)]).max(initial=0) >= 1 << 26:      # before the cast, which would wrap
                 raise ValueError("a scaled component is 2**26 or more")
+            with np.errstate(invalid="ignore"):
+                q = scaled.astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), pa.array(size[keep], pa.int32()),
                                               pa.array([q[off[i]:off[i + 1]].tobytes() for i in keep], pa.binary())],
                                              names=["id", "dim", "v"])

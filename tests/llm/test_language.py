@@ -107,6 +107,13 @@ def test_stage_keeps_clean_rows_and_columns(spark):
     assert sorted(r.doc_id for r in out.collect()) == list(range(150))
 
 
+def test_stage_with_clashing_column_names(spark):
+    docs = spark.createDataFrame([(i, t, lang, s, 3, "x") for i, t, lang, s in corpus()] + [(500, None, None, None, 0, "y")],
+                                 "doc_id long, text string, lang string, source string, _bad_id int, _bad_t string")
+    out = m.language_stage(docs)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == list(range(150))
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "abc", None, "s"), (2, "", None, None)], "doc_id long, text string, lang string, source string")
     assert [r.doc_id for r in m.language_stage(docs).collect()] == [1]

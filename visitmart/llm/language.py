@@ -217,5 +217,6 @@ def language_stage(docs: DataFrame, **kw) -> DataFrame:
     n = bad.count()
     if not n:
         return docs
-    return docs.join(F.broadcast(bad) if n < 1_000_000 else bad,
-                     F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_t")), "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_r"))
+    return rows.join(F.broadcast(bad) if n < 1_000_000 else bad,
+                     F.col("_r.doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("_r.text") == F.col("_bad_t")), "left_anti").select("_r.*")

@@ -1,8 +1,9 @@
 """Array helpers shared by the operators' task-side code (numpy and Arrow only).
 
-Words are maximal runs of bytes outside ``[\\x20\\x09-\\x0D]``. Word and window
-hashes are 64-bit polynomial prefix hashes over random byte values, so a
-whole batch of texts is hashed with a few array operations.
+Words are maximal runs of bytes outside ``[\\x20\\x09-\\x0D]``. A word's hash is the
+sum of its mixed 8-byte chunks (no polynomial, so no built word has a known
+partner); a window's hash is a polynomial over its words' hashes. A whole batch
+of texts is hashed with a few array operations.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 _P1, _P2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
-_BYTE = np.random.RandomState(7).randint(1, 2**63 - 1, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+_CHUNK_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -78,21 +79,23 @@ def release() -> None:
         pass
 
 
-def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 1 << 19) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span (in rising order) of a buffer; a
-    hash does not depend on where the span stands, so blocks are hashed alone."""
-    if not len(start):
-        return np.zeros(0, U64)
-    if len(raw) > block and len(start) > 1:
-        cut = np.unique(np.searchsorted(start, np.arange(block, len(raw), block)))
-        cut = [0, *cut[(cut > 0) & (cut < len(start))].tolist(), len(start)]
-        if len(cut) > 2:
-            return np.concatenate([span_hashes(raw[start[a]:end[z - 1]], start[a:z] - start[a], end[a:z] - start[a], len(raw))
-                                   for a, z in zip(cut[:-1], cut[1:])])
-    p, q = powers(_P1, len(raw) + 1)
-    h = np.zeros(len(raw) + 1, U64)
-    np.cumsum(_BYTE[raw] * p[:-1], dtype=U64, out=h[1:])
-    return mix64((h[end] - h[start]) * q[start] + (end - start).astype(U64))
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0, block: int = 1 << 18) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span of a buffer; another ``seed`` gives
+    an independent one. Spans are hashed ``block`` at a time."""
+    out = np.empty(len(start), U64)
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))      # the 8 bytes from each place on
+    salt = mix64(np.array([seed], U64))[0]
+    for a in range(0, len(start), block):
+        at, size = start[a:a + block], end[a:a + block] - start[a:a + block]
+        n = np.maximum((size + 7) >> 3, 1)
+        first = np.cumsum(n) - n
+        k = np.arange(int(n.sum()), dtype=np.int64) - np.repeat(first, n)
+        left = np.minimum(np.repeat(size, n) - 8 * k, 8)
+        chunk = eight[np.repeat(at, n) + 8 * k] & _CHUNK_MASK[left]
+        part = mix64((chunk + salt) * U64(_P1) ^ (k.astype(U64) + U64(1)) * U64(_P2))
+        out[a:a + block] = mix64(np.add.reduceat(part, first) + size.astype(U64) * U64(_P1))
+    return out
 
 
 class Words:
@@ -120,9 +123,9 @@ class Words:
         self.row_end = np.append(self.row_start[1:], len(self.start)) if len(self.row_start) else self.row_start
         self.counts = self.row_end - self.row_start
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
-        return span_hashes(self.raw, self.start, self.end)
+        return span_hashes(self.raw, self.start, self.end, seed)
 
     def rows(self) -> np.ndarray:
         """The row of each word."""

@@ -7,16 +7,21 @@ also checksummed. Only a group of blocks is in memory at a time. Files are
 found by the manifest; a task that runs again writes a new file.
 
 The tokenizer sees each distinct word of a slice once: its rules never look
-across ASCII blanks, so the ids of a text are those of its words in turn.
+across ASCII blanks, so the ids of a text are those of its words in turn. Words
+are the same when two independent 64-bit hashes agree; a word that shares only
+the first with another is encoded by itself. Texts are encoded whole, a very long
+one as a slice of its own.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -25,7 +30,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from ..sources.sinks import scratch_dir
 from . import rangecoder as rc
-from .arrays import U64, Words, ranges, release, slices, text_buffer
+from .arrays import LOWER, U64, Words, ranges, release, slices, text_buffer
 from .shared_files import one_task_per_file, open_file, write_file
 
 MAGIC = b"TOKRC001"
@@ -53,8 +58,9 @@ _ODD_PAIRS = (0xC397, 0xC3B7, 0xC4B0, 0xC589)
 TOGETHER = 64                             # words encoded in one call
 
 
-def pre_tokens(data: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Number of pre-tokens of each word of a buffer of words, 0 where it must go alone."""
+def pre_tokens(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a buffer of words: the number of pre-tokens of each word, 0 where it must
+    go alone, and whether a pre-token starts at a byte."""
     kind = _KIND[data]
     pair = (data[:-1].astype(np.int32) << 8) | data[1:]
     alone = kind == _ALONE
@@ -62,7 +68,34 @@ def pre_tokens(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     new = kind == _DIGIT
     new[1:] |= kind[1:] != kind[:-1]
     new[start] = True
-    return np.where(np.add.reduceat(alone, start, dtype=np.int64) > 0, 0, np.add.reduceat(new, start, dtype=np.int64))
+    return np.where(np.add.reduceat(alone, start, dtype=np.int64) > 0, 0, np.add.reduceat(new, start, dtype=np.int64)), new
+
+
+def spaced(data: np.ndarray, start: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A buffer of words, A-Z lowered, with a blank before each pre-token inside a
+    word; and where each word starts and ends in it."""
+    inner = new.copy()
+    inner[start] = False
+    place = np.arange(len(data)) + np.cumsum(inner)
+    out = np.full(place[-1] + 1, 32, np.uint8)
+    out[place] = LOWER[data]
+    return out, place[start], place[np.append(start[1:], len(data)) - 1] + 1
+
+
+def plain_form(path: str, tok):
+    """The tokenizer without its normaliser and pattern, for ASCII words in lower case
+    that are cut into pre-tokens already: there both change nothing. None where the
+    file's rules are others than NFC, blanks, lower case, one pattern and byte symbols."""
+    rules = json.loads(tok.to_str())
+    norm = [x["type"] for x in (rules["normalizer"] or {}).get("normalizers", [])]
+    pre = [x["type"] for x in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    if norm != ["NFC", "Replace", "Lowercase"] or pre != ["Split", "ByteLevel"]:
+        return None
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    plain = Tokenizer.from_file(path)
+    plain.normalizer, plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+    return plain
 
 
 class WordTokenizer:
@@ -73,6 +106,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tok, self.keep = Tokenizer.from_file(path), keep
+        self.plain = plain_form(path, self.tok)
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.vocab = max(vocab.values()) + 1
         self.ends = np.zeros(self.vocab, bool)                # ids that end a pre-token
@@ -80,17 +114,26 @@ class WordTokenizer:
         self._clear()
 
     def _clear(self):
-        self.key, self.at, self.len = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.pool = np.zeros(0, np.int32)
+        self.key, self.check = np.zeros(0, U64), np.zeros(0, U64)       # both hashes, by the first
+        self.at, self.len = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def _store(self, ids: np.ndarray) -> int:
+        """Append ids to the pool; returns where they start."""
+        at, self.used = self.used, self.used + len(ids)
+        if self.used > len(self.pool):
+            self.pool = np.concatenate([self.pool[:at], np.zeros(max(at, self.used - at), np.int32)])
+        self.pool[at:self.used] = ids
+        return at
 
     def _encode_alone(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
         return np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got], np.int32)
 
-    def _encode_together(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_together(self, tok, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Many words to a call, told apart again by their number of pre-tokens."""
         groups = [b" ".join(words[i:i + TOGETHER]).decode() for i in range(0, len(words), TOGETHER)]
-        got = [e.ids for e in self.tok.encode_batch_fast(groups, add_special_tokens=False)]
+        got = [e.ids for e in tok.encode_batch_fast(groups, add_special_tokens=False)]
         flat = np.concatenate([np.array(x, np.int32) for x in got])
         ends = np.flatnonzero(self.ends[flat])
         per_group = np.add.reduceat(self.ends[flat], np.cumsum([0] + [len(x) for x in got[:-1]]), dtype=np.int64)
@@ -99,38 +142,60 @@ class WordTokenizer:
         last = ends[np.cumsum(counts) - 1]
         return flat, np.diff(last, prepend=-1).astype(np.int32)
 
-    def _learn(self, keys: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray):
+    def encode_words(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Encode words and store their ids: (place in the pool, number of ids)."""
         lens = end - start
-        counts = pre_tokens(raw[ranges(start, lens)], np.cumsum(lens) - lens)
-        data = raw.tobytes()
-        at, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int32)
-        for rows, encode in ((np.flatnonzero(counts), self._encode_together), (np.flatnonzero(counts == 0), None)):
+        data = raw[ranges(start, lens)]
+        first = np.cumsum(lens) - lens
+        counts, new = pre_tokens(data, first)
+        ascii_only = np.add.reduceat(data > 127, first, dtype=np.int64) == 0
+        plain = (counts > 0) & ascii_only if self.plain else np.zeros(len(start), bool)
+        at, size = np.zeros(len(start), np.int64), np.zeros(len(start), np.int32)
+        as_is = (data, first, first + lens)
+        for rows, tok, (source, a, z) in ((plain, self.plain, spaced(data, first, new)), (~plain & (counts > 0), self.tok, as_is),
+                                          (counts == 0, None, as_is)):
+            rows = np.flatnonzero(rows)
             if len(rows):
-                words = [data[a:z] for a, z in zip(start[rows].tolist(), end[rows].tolist())]
-                flat, n = encode(words, counts[rows]) if encode else self._encode_alone(words)
-                at[rows], size[rows] = len(self.pool) + np.cumsum(n, dtype=np.int64) - n, n
-                self.pool = np.concatenate([self.pool, flat])
+                source = source.tobytes()
+                words = [source[i:j] for i, j in zip(a[rows].tolist(), z[rows].tolist())]
+                flat, n = self._encode_together(tok, words, counts[rows]) if tok else self._encode_alone(words)
+                at[rows], size[rows] = self._store(flat) + np.cumsum(n, dtype=np.int64) - n, n
+        return at, size
+
+    def _learn(self, keys: np.ndarray, check: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray):
+        at, size = self.encode_words(raw, start, end)
         slot = np.searchsorted(self.key, keys)
-        self.key, self.at, self.len = np.insert(self.key, slot, keys), np.insert(self.at, slot, at), np.insert(self.len, slot, size)
+        self.key, self.check = np.insert(self.key, slot, keys), np.insert(self.check, slot, check)
+        self.at, self.len = np.insert(self.at, slot, at), np.insert(self.len, slot, size)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids of each row)."""
         w = Words(raw, offsets)
-        keys, where, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        if not len(w.start):
+            return np.zeros(0, np.int32), np.zeros(len(w.counts), np.int64)
+        check = w.hashes(seed=1)
+        which, keys = pd.factorize(w.hashes())
+        where = np.empty(len(keys), np.int64)
+        where[which[::-1]] = np.arange(len(which) - 1, -1, -1)          # the first of each
         if len(self.key) + len(keys) > self.keep:
             self._clear()
-        slot = np.searchsorted(self.key, keys)
-        new = np.ones(len(keys), bool)
+        order = np.argsort(keys)
+        known = np.zeros(len(keys), bool)
         if len(self.key):
-            new = self.key[np.minimum(slot, len(self.key) - 1)] != keys
-        if new.any():
-            self._learn(keys[new], raw, w.start[where[new]], w.end[where[new]])
-            slot = np.searchsorted(self.key, keys)
+            slot = np.minimum(np.searchsorted(self.key, keys[order]), len(self.key) - 1)
+            known[order] = self.key[slot] == keys[order]
+        new = order[~known[order]]                                       # in rising order of their keys
+        if len(new):
+            self._learn(keys[new], check[where[new]], raw, w.start[where[new]], w.end[where[new]])
+        slot = np.empty(len(keys), np.int64)
+        slot[order] = np.searchsorted(self.key, keys[order])
         slot = slot[which]
-        size = self.len[slot].astype(np.int64) if len(slot) else np.zeros(0, np.int64)
+        at, size = self.at[slot], self.len[slot].astype(np.int64)
+        other = np.flatnonzero(self.check[slot] != check)                # another word of the same first hash
+        if len(other):
+            at[other], size[other] = self.encode_words(raw, w.start[other], w.end[other])
         total = np.concatenate([[0], np.cumsum(size)])
-        ids = self.pool[ranges(self.at[slot], size)] if len(slot) else np.zeros(0, np.int32)
-        return ids, total[w.row_end] - total[w.row_start]
+        return self.pool[ranges(at, size)], total[w.row_end] - total[w.row_start]
 
 
 _made: dict = {}

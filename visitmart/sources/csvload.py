@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import charset
+from . import charset, csvrecords
 
 CORRUPT = "_corrupt_record"
 REASON = "_failed"
@@ -66,8 +66,8 @@ class LoadSpec:
     charset: str = charset.DEFAULT
     null_value: str = "NULL"
     # Quoted fields may hold line breaks (the loader accepts them inside
-    # enclosed fields). Spark then reads each file in one task, so it is off
-    # unless the extract can contain them.
+    # enclosed fields). A batch load then reads the splits twice (``csvrecords``),
+    # a stream each file in one task, so it is off unless the extract can contain them.
     multiline: bool = False
 
 
@@ -115,14 +115,23 @@ def parse_mysql_date(x: Column | str, fmt: str) -> Column:
 
 def read_fields(spark: SparkSession, path: str, spec: LoadSpec) -> DataFrame:
     """All fields as text, plus the raw line of malformed rows."""
-    return decoded(with_options(spark.read, spec).csv(path), spec)
+    if not spec.multiline:
+        return decoded(with_options(spark.read, spec).csv(path), spec)
+    # One record a row, whatever split it started in.
+    text = F.decode("record", charset.spark_name(spec.charset))
+    fields = F.from_csv(text, F.lit(file_schema(spec).simpleString()), {
+        "quote": '"', "escape": '"', "nullValue": spec.null_value, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+        "multiLine": "true", "maxCharsPerColumn": "-1"})
+    return decoded(csvrecords.records(spark, path).select(fields.alias("f")).select("f.*"), spec)
+
+
+def file_schema(spec: LoadSpec) -> T.StructType:
+    return T.StructType([T.StructField(f, T.StringType()) for f in (*spec.fields, CORRUPT)])
 
 
 def with_options(reader, spec: LoadSpec):
     """A batch or stream reader set to the loader's file format."""
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in spec.fields]
-                          + [T.StructField(CORRUPT, T.StringType())])
-    return (reader.schema(schema)
+    return (reader.schema(file_schema(spec))
             .option("header", "false")
             .option("quote", '"')
             .option("escape", '"')

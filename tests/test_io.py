@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import d, rows, ts
 from visitmart.sources import sinks
 from visitmart.sources.csvload import LoadSpec, load_csv, mysql_format
@@ -149,6 +152,73 @@ def test_a_batch_that_runs_again_replaces_itself_and_unlogged_ones_are_not_read(
     assert rows(sinks.read_table(spark, f"{tmp_dir}/t")) == [(1,)]
 
 
+def test_a_load_that_dies_between_its_writes_shows_neither_rows_nor_rejects(spark, tmp_dir, monkeypatch):
+    _write(f"{tmp_dir}/in/a.csv", LINES, "\n")
+    loaded = load_csv(spark, f"{tmp_dir}/in", STRICT)
+    r, a = f"{tmp_dir}/refreshed", f"{tmp_dir}/appended"
+    sinks.load_refresh(loaded, r)
+    sinks.load_append(loaded, a)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    for name in ("write_rejects", "log_commit"):
+        with monkeypatch.context() as m:
+            m.setattr(sinks, name, dies)
+            for load, target in ((sinks.load_refresh, r), (sinks.load_append, a)):
+                with pytest.raises(RuntimeError):
+                    load(loaded, target)
+        assert sinks.read_current(spark, r).count() == sinks.read_table(spark, a).count() == 6
+        assert sinks.read_rejects(spark, r).count() == sinks.read_rejects(spark, a).count() == 3
+    sinks.load_append(loaded, a)
+    assert sinks.read_table(spark, a).count() == 12 and sinks.read_rejects(spark, a).count() == 6
+
+
+def test_a_load_parses_its_file_once(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/a.csv", LINES, "\n")
+    once = load_csv(spark, f"{tmp_dir}/in", STRICT).once()
+    for df in (once.rows, once.rejects):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "FileScan csv" not in plan
+
+
+def test_keyed_stream_and_batch_load_an_extract_once(spark, tmp_dir):
+    for order in ("bs", "sb"):
+        t = f"{tmp_dir}/{order}"
+        _write(f"{t}-in/a.csv", ["A,1,1/2/2024", "NULL,2,1/2/2024", "A,1,1/2/2024"], "\n")
+        for step in order:
+            if step == "b":
+                sinks.load_append(load_csv(spark, f"{t}-in", STRICT), t, dedup_keys=["name", "n"])
+            else:
+                stream_append(spark, f"{t}-in", STRICT, t, f"{t}-ck", dedup_keys=["name", "n"])
+        assert rows(sinks.read_table(spark, t), "name", "n") == [("A", 1), (None, 2)]
+
+
+def test_a_keyed_batch_that_runs_again_keeps_its_rows(spark, tmp_dir):
+    a = spark.createDataFrame([(1,), (2,)], "k long")
+    for _ in range(2):
+        sinks.append(a, f"{tmp_dir}/t", ["k"], batch="s1")
+    assert rows(sinks.read_table(spark, f"{tmp_dir}/t")) == [(1,), (2,)]
+
+
+def test_ordered_export_in_part_order(spark, tmp_dir):
+    n = 3000
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("v")).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")      # many parts of few rows
+    try:
+        sinks.export_csv(df, f"{tmp_dir}/x", order_by=["v", F.col("k").desc()])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted(f for f in os.listdir(f"{tmp_dir}/x") if f.startswith("part-"))
+    data = [open(f"{tmp_dir}/x/{f}", newline="").read() for f in parts]
+    want = ["k,v", "-,-"] + [f"{r.k},{r.v or 'NULL'}" for r in sorted(df.collect(), key=lambda r: (r.v or "", -r.k))]
+    assert len(parts) > 3 and data[0] == "k,v\r\n-,-\r\n"
+    assert "".join(data) == "".join(line + "\r\n" for line in want)
+    got = sorted(sinks.read_export(spark, f"{tmp_dir}/x").collect())
+    assert [tuple(r) for r in got] == list(enumerate(want, 1))
+    assert load_csv(spark, f"{tmp_dir}/x", LoadSpec(fields=("k", "v"), target=("k", "v"), header=("k", "v"))).rows.count() == n
+
+
 def test_null_keys_and_repeats_in_a_batch(spark, tmp_dir):
     a = spark.createDataFrame([(None, "a"), (None, "a"), (1, "b")], "k long, v string")
     sinks.append(a, f"{tmp_dir}/t", ["k"], exists=False)

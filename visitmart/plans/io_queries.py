@@ -16,6 +16,8 @@ table next to it) and returns what the target table holds:
 * ``loader_rejects``: the quarantined rows of a load with bad dates, bad numbers
   and blank lines.
 * ``quotename_export`` (F1): every document's full text through QUOTENAME.
+* ``cancels_export`` (J10, O2, S12): the cancellation list written newest first in
+  many parts, and its lines read back with their numbers.
 
 Files go to a fresh folder under the cluster's shared checkpoint
 directory. The oracle SQL derives the loaded rows from the extract's SQL:
@@ -28,8 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import quote_name
+from ..operators import schedule
 from ..sources.csvload import LoadSpec, load_csv
-from ..sources.sinks import (export_csv, load_append, load_refresh, read_current, read_rejects, read_table,
+from ..sources.sinks import (export_csv, load_append, load_refresh, read_current, read_export, read_rejects, read_table,
                              refresh, scratch_dir)
 from ..streaming.append_stream import stream_append
 from . import catalog
@@ -210,6 +213,13 @@ def q_quotename_export(spark, d):
     return docs.select("doc_id", quote_name("text").alias("quoted_text"))
 
 
+def q_cancels_export(spark, d):
+    path = scratch_dir(spark, "cancels_export")
+    keys = schedule.cancels(Bound.of(spark, d).status_keys("F"), catalog.KEYS_SINCE, catalog.KEYS_AS_OF, ordered=False)
+    export_csv(export_view(keys), path, order_by=[F.col("App_DtTm").desc()])
+    return read_export(spark, path)
+
+
 IO_QUERIES = {
     "datamart_refresh": q_datamart_refresh,
     "csv_full_refresh": q_csv_full_refresh,
@@ -224,6 +234,7 @@ IO_QUERIES = {
     "loader_rejects": q_loader_rejects,
     "monthly_total_load": q_monthly_total_load,
     "quotename_export": q_quotename_export,
+    "cancels_export": q_cancels_export,
 }
 
 # -- oracle SQL -------------------------------------------------------------
@@ -312,6 +323,11 @@ _QUOTENAME_SQL = """
 SELECT doc_id, '"' || replace(text, '"', '""') || '"' AS quoted_text
 FROM documents"""
 
+_CANCELS_EXPORT_SQL = f"""
+WITH lines AS (SELECT App_DtTm AS newest, Pat_Id1 || ',' || App_DtTm AS line FROM {_sub(catalog.SQL['cancels'])} c)
+SELECT 1::BIGINT AS line_no, 'Pat_Id1,App_DtTm' AS line UNION ALL SELECT 2, '-------,--------' UNION ALL
+SELECT 2 + row_number() OVER (ORDER BY newest DESC, line), line FROM lines"""
+
 IO_SQL = {
     "datamart_refresh": catalog.SQL["visit_vitals_drugs"],
     "csv_full_refresh": _BUMPS_LOAD_SQL,
@@ -327,4 +343,5 @@ IO_SQL = {
     "loader_rejects": _LOADER_REJECTS_SQL,
     "monthly_total_load": _MONTHLY_TOTAL_LOAD_SQL,
     "quotename_export": _QUOTENAME_SQL,
+    "cancels_export": _CANCELS_EXPORT_SQL,
 }

@@ -102,12 +102,21 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _folders(spark: SparkSession, path: str):
-    """(file system, [(name, modified ms, path)]) of the folders in a folder."""
+def _listed(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = list(fs.listStatus(root)) if fs.exists(root) else []
+    return fs, list(fs.listStatus(root)) if fs.exists(root) else []
+
+
+def file_status(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, bytes) of the files in a folder; none if there is no such folder."""
+    return [(f.getPath().getName(), f.getLen()) for f in _listed(spark, path)[1] if f.isFile()]
+
+
+def _folders(spark: SparkSession, path: str):
+    """(file system, [(name, modified ms, path)]) of the folders in a folder."""
+    fs, found = _listed(spark, path)
     return fs, [(f.getPath().getName(), f.getModificationTime(), f.getPath()) for f in found if f.isDirectory()]
 
 

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from . import charset, csvrecords
 
 CORRUPT = "_corrupt_record"
@@ -75,6 +76,13 @@ class LoadSpec:
 class Loaded:
     rows: DataFrame
     rejects: DataFrame
+    parsed: DataFrame
+    spec: LoadSpec
+
+    def once(self) -> Loaded:
+        """The same rows and rejects over one written copy of the parsed file, so
+        that a sink that writes both reads and parses the file once."""
+        return split_rows(materialize(self.parsed), self.spec)
 
 
 def _compact_format(fmt: str) -> bool:
@@ -193,7 +201,7 @@ def split_rows(parsed: DataFrame, spec: LoadSpec) -> Loaded:
     the malformed line if any, and the targets that failed."""
     rows = parsed.filter(F.col(REASON) == "").select(*spec.target)
     rejects = parsed.filter(F.col(REASON) != "").select("_raw.*", CORRUPT, REASON)
-    return Loaded(rows, rejects)
+    return Loaded(rows, rejects, parsed, spec)
 
 
 def load_csv(spark: SparkSession, path: str, spec: LoadSpec) -> Loaded:

@@ -8,7 +8,9 @@ and a job killed halfway resumes from its last committed batch.
 
 Each micro-batch is committed to the append table under an id made of the
 checkpoint and the batch number, rejects beside it under the same id: a batch
-that runs again after a failure replaces what it had written.
+that runs again after a failure replaces what it had written. With ``dedup_keys``
+rows whose keys the table holds already, from a batch load or the stream, are left
+out, by the rule of the batch load (``sinks.append``).
 
 ``trigger(availableNow=True)`` processes what has landed and stops, which
 fits the source's scheduled, batch-style runs; the same code runs as a
@@ -26,7 +28,7 @@ from ..sources.sinks import load_append
 
 
 def stream_append(spark: SparkSession, landing: str, spec: LoadSpec, target: str,
-                  checkpoint: str, files_per_batch: int = 100) -> None:
+                  checkpoint: str, files_per_batch: int = 100, dedup_keys: list[str] | None = None) -> None:
     """Append every not-yet-loaded CSV file under ``landing`` to ``target``."""
     raw = decoded(with_options(spark.readStream, spec)
                   .option("maxFilesPerTrigger", files_per_batch)
@@ -35,7 +37,8 @@ def stream_append(spark: SparkSession, landing: str, spec: LoadSpec, target: str
     feed = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        load_append(split_rows(parse_rows(batch, spec), spec), target, batch=f"s{feed}n{batch_id}")
+        load_append(split_rows(parse_rows(batch, spec), spec), target, batch=f"s{feed}n{batch_id}",
+                    dedup_keys=dedup_keys)
 
     query = (raw.writeStream
              .foreachBatch(write)

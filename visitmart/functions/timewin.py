@@ -111,6 +111,11 @@ def on_or_after_day(ts: ColumnOrName, day) -> Column:
     return _c(ts) >= _ts_lit(_midnight(as_date(day)))
 
 
+def before_day(ts: ColumnOrName, as_of, days: int) -> Column:
+    """Calendar day of ``ts`` before day(as_of) + days."""
+    return _c(ts) < _ts_lit(_midnight(as_date(as_of)) + dt.timedelta(days=days))
+
+
 def day_diff(start: ColumnOrName, end: ColumnOrName) -> Column:
     """D3 ``DATEDIFF(day, start, end)``: calendar days from start to end.
 

@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import (comma_to_space, contains_ci, distinct_ci, eq_ci, fold, fold_literal, group_ci, in_ci,
                               not_in_ci, quote_name, startswith_ci)
-from ..functions.timewin import (age_years, as_date, as_datetime, day_diff, day_window_half_open, ts_literal,
+from ..functions.timewin import (age_years, as_date, as_datetime, before_day, day_diff, day_window_half_open, ts_literal,
                                  day_window_inclusive, fmt_mdy, month_to_date,
                                  on_or_after_day, rolling_window)
 from .asof import strict_backward_asof
+from .keyfilter import cut_to_keys
 
 
 def _now(as_of):
@@ -199,10 +200,12 @@ def outreach_two_weeks(vw_schedule: DataFrame, staff: DataFrame, admin: DataFram
 def first_diagnosis(diagnoses: DataFrame, patients: DataFrame | None = None) -> DataFrame:
     """U4: first diagnosis code and text per patient (earliest day, then code).
 
-    The minimum is partial before the shuffle, so a patient with a third of the
-    history is one row per task; ``patients`` (optional) cuts the result, which
-    is partitioned by patient already.
+    ``patients`` (optional) cuts the history where it is read (``keyfilter``) and
+    the result exactly. The minimum is partial before the shuffle, so a patient with a
+    third of the history is one row per task.
     """
+    if patients is not None:
+        diagnoses = cut_to_keys(diagnoses, patients, "pat_id1")
     first = diagnoses.groupBy("pat_id1").agg(
         F.min(F.struct("appt_date", "diag_code", "diag_desc")).alias("f"))
     if patients is not None:
@@ -253,8 +256,7 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
     race = F.when(F.col("_has_admin"), F.col("race"))
     j = j.filter((F.col("ident_id").isNull() | (F.col("ident_version") == 0))
                  & (in_ci(race, races) | in_ci("Ethnicity", ethnicities)))
-    # First diagnoses only for patients with an appointment in the window:
-    # the semi-join cuts the diagnosis history before it is aggregated.
+    # First diagnoses only for patients with an appointment in the window.
     j = (j.join(for_keys(patient_provider, sch).select("pat_id1", "provider_name"), "pat_id1", "left")
           .join(first_diagnosis(diagnoses, sch), "pat_id1", "left")
           .join(for_keys(vw_patient, sch).select("pat_id1", "birth_dttm"), "pat_id1", "left"))
@@ -289,7 +291,7 @@ def outreach_one_week(schedule: DataFrame, staff: DataFrame, cpt: DataFrame, buc
     run_day = F.lit(now.date())
     # Only sets with a row in the window can pair: cut the tip side to them
     # before deduplicating, instead of deduplicating all history.
-    tip = (schedule.filter(F.col("version") == 0)
+    tip = (cut_to_keys(schedule.filter(F.col("version") == 0), sch, "sch_set_id")
                    .join(sch.select("sch_set_id"), "sch_set_id", "left_semi")
                    .select("sch_set_id",
                            F.col("schstatus_hist_sd").alias("SchStatus_Hist_SD"),
@@ -361,8 +363,10 @@ def clinic_last_visit(vw_patient: DataFrame, vw_schedule: DataFrame, schedule: D
                         .join(vw_patient.select("pat_id1", "ida", "birth_dttm"), "pat_id1")
                         .withColumn("day", F.to_date("app_dttm")))
     keys = t.select("pat_id1", "day")
-    # History as distinct (patient, day), map-side, before it is cut to the listed patients.
-    hist = (schedule.filter((F.col("version") == 0) & in_ci("schstatus_hist_sd", completed_statuses))
+    # History before the last listed day, cut to the listed patients where it is read, then
+    # reduced to distinct (patient, day), map-side, and cut exactly.
+    hist = (cut_to_keys(schedule.filter((F.col("version") == 0) & in_ci("schstatus_hist_sd", completed_statuses)
+                                        & before_day("app_dttm", as_of, days)), t, "pat_id1")
                     .select("pat_id1", F.to_date("app_dttm").alias("day")).distinct()
                     .join(keys.select("pat_id1").distinct(), "pat_id1", "left_semi"))
     last = strict_backward_asof(keys, hist)

@@ -110,6 +110,49 @@ def test_any_texts(texts):
     assert [ids[a:z].tolist() for a, z in zip(ends - counts, ends)] == [reference(t.tok, x) for x in texts]
 
 
+def test_the_library_sees_each_pre_token_once(tok):
+    """Words that differ in case or signs share their pre-tokens."""
+    import pyarrow as pa
+    from visitmart.llm.arrays import text_buffer
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.seen = inner, []
+
+        def encode_batch_fast(self, texts, **kw):
+            self.seen += [w for x in texts for w in x.split()]
+            return self.inner.encode_batch_fast(texts, **kw)
+
+    t = m.WordTokenizer(m.model_path())
+    t.tok, t.plain = Counting(t.tok), Counting(t.plain)
+    texts = ["aa bb aa, bb. Aa AA (bb)", "caf\u00e9 caf\u00e9, aa:bb x7aa", "bb, (caf\u00e9)."]
+    ids, counts = m.append_end(*t.encode(*text_buffer(pa.array(texts))), 1)
+    assert ids.tolist() == [i for x in texts for i in reference(tok, x)]
+    assert sorted(t.plain.seen + t.tok.seen) == sorted(["aa", "bb", ",", ".", "(", ")", ":", "x", "7", ").", "caf\u00e9"])
+
+
+def test_a_pattern_that_cuts_otherwise_is_followed(tok):
+    import pyarrow as pa
+    from visitmart.llm.arrays import text_buffer
+
+    t = m.WordTokenizer(m.model_path())
+    t.ends[:] = False                                                       # no id ends a pre-token: words go alone
+    ids, _ = t.encode(*text_buffer(pa.array(["one, two don't one,"])))
+    assert ids.tolist() == reference(tok, "one, two don't one,")[:-1]
+
+
+def test_order_0_places_by_guide_equal_a_full_search():
+    rng = np.random.default_rng(4)
+    for blocks, vocab in ((1, 5), (2, 300), (3, 20000)):
+        model = rc.Model(blocks, 4, vocab)
+        for _ in range(3):
+            model.pending.append(rng.integers(0, vocab, 4 * blocks) + model.base0)
+            model.renew()
+            q = rng.integers(0, model.flat[-1], 2000).astype(np.int32)
+            in_block = np.isin(q, model.flat[vocab::vocab + 1], invert=True)   # the sums between blocks are no one's
+            assert (model.find(q) == np.searchsorted(model.flat, q, "right") - 1)[in_block].all()
+
+
 def test_real_texts(tok):
     """Word by word equals text by text on the test documents."""
     import pyarrow.parquet as pq

@@ -79,7 +79,7 @@ def release() -> None:
         pass
 
 
-def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0, block: int = 1 << 18) -> np.ndarray:
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0, block: int = 1 << 14) -> np.ndarray:
     """A 64-bit hash of the bytes of each span of a buffer; another ``seed`` gives
     an independent one. Spans are hashed ``block`` at a time."""
     out = np.empty(len(start), U64)
@@ -88,13 +88,16 @@ def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int =
     salt = mix64(np.array([seed], U64))[0]
     for a in range(0, len(start), block):
         at, size = start[a:a + block], end[a:a + block] - start[a:a + block]
-        n = np.maximum((size + 7) >> 3, 1)
-        first = np.cumsum(n) - n
-        k = np.arange(int(n.sum()), dtype=np.int64) - np.repeat(first, n)
-        left = np.minimum(np.repeat(size, n) - 8 * k, 8)
-        chunk = eight[np.repeat(at, n) + 8 * k] & _CHUNK_MASK[left]
-        part = mix64((chunk + salt) * U64(_P1) ^ (k.astype(U64) + U64(1)) * U64(_P2))
-        out[a:a + block] = mix64(np.add.reduceat(part, first) + size.astype(U64) * U64(_P1))
+        part = mix64(((eight[at] & _CHUNK_MASK.take(size, mode="clip")) + salt) * U64(_P1) ^ U64(_P2))
+        more = np.flatnonzero(size > 8)                                # the chunks after the first
+        if len(more):
+            n = (size[more] - 1) >> 3
+            first = np.cumsum(n) - n
+            k = np.arange(1, int(n.sum()) + 1, dtype=np.int64) - np.repeat(first, n)
+            left = np.repeat(size[more], n) - 8 * k
+            chunk = eight[np.repeat(at[more], n) + 8 * k] & _CHUNK_MASK.take(left, mode="clip")
+            part[more] += np.add.reduceat(mix64((chunk + salt) * U64(_P1) ^ (k.astype(U64) + U64(1)) * U64(_P2)), first)
+        out[a:a + block] = mix64(part + size.astype(U64) * U64(_P1))
     return out
 
 

@@ -6,11 +6,12 @@ each reset and checksummed), and a footer with the documents' ids and lengths,
 also checksummed. Only a group of blocks is in memory at a time. Files are
 found by the manifest; a task that runs again writes a new file.
 
-The tokenizer sees each distinct word of a slice once: its rules never look
-across ASCII blanks, so the ids of a text are those of its words in turn. Words
-are the same when two independent 64-bit hashes agree; a word that shares only
-the first with another is encoded by itself. Texts are encoded whole, a very long
-one as a slice of its own.
+The tokenizer's rules never look across ASCII blanks, so the ids of a text are
+those of its words in turn, and each distinct word is looked at once. Of words
+of plain characters it sees only the distinct pre-tokens: "Word", "word," and
+"(word)" share one. Words and pre-tokens are the same when two independent 64-bit
+hashes agree; one that shares only the first with another is encoded by itself.
+Texts are encoded whole, a very long one as a slice of its own.
 """
 
 from __future__ import annotations
@@ -29,11 +30,12 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from ..sources.sinks import scratch_dir
+from . import arrays
 from . import rangecoder as rc
 from .arrays import LOWER, U64, Words, ranges, release, slices, text_buffer
 from .shared_files import one_task_per_file, open_file, write_file
 
-MAGIC = b"TOKRC001"
+MAGIC = b"TOKRC002"
 FOOTER = struct.Struct("<QIQ8s")          # documents, crc of the footer's body, its bytes, magic
 NULL_ID = -1 << 63                        # null ids sort first and are marked by a flag byte
 
@@ -55,7 +57,7 @@ _KIND[48:58] = _DIGIT
 _KIND[[ord("'"), ord("<")]] = _ALONE
 # Not letters, or not one letter in lower case: multiplication and division sign, dotted I, n with apostrophe.
 _ODD_PAIRS = (0xC397, 0xC3B7, 0xC4B0, 0xC589)
-TOGETHER = 64                             # words encoded in one call
+TOGETHER = 64                             # pre-tokens encoded in one call
 
 
 def pre_tokens(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,17 +73,6 @@ def pre_tokens(data: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.where(np.add.reduceat(alone, start, dtype=np.int64) > 0, 0, np.add.reduceat(new, start, dtype=np.int64)), new
 
 
-def spaced(data: np.ndarray, start: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A buffer of words, A-Z lowered, with a blank before each pre-token inside a
-    word; and where each word starts and ends in it."""
-    inner = new.copy()
-    inner[start] = False
-    place = np.arange(len(data)) + np.cumsum(inner)
-    out = np.full(place[-1] + 1, 32, np.uint8)
-    out[place] = LOWER[data]
-    return out, place[start], place[np.append(start[1:], len(data)) - 1] + 1
-
-
 def plain_form(path: str, tok):
     """The tokenizer without its normaliser and pattern, for ASCII words in lower case
     that are cut into pre-tokens already: there both change nothing. None where the
@@ -98,104 +89,138 @@ def plain_form(path: str, tok):
     return plain
 
 
-class WordTokenizer:
-    """Ids of texts by way of their distinct words, kept for later batches."""
-
-    def __init__(self, path: str, keep: int = 2_000_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class Kept:
+    """Ids of spans of bytes, each distinct span given to ``learn`` once: spans -> (ids, place and number of each span's)."""
 
-        self.tok, self.keep = Tokenizer.from_file(path), keep
-        self.plain = plain_form(path, self.tok)
-        vocab = self.tok.get_vocab(with_added_tokens=True)
-        self.vocab = max(vocab.values()) + 1
-        self.ends = np.zeros(self.vocab, bool)                # ids that end a pre-token
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+    def __init__(self, learn, keep: int):
+        self.learn, self.keep = learn, keep
         self._clear()
 
     def _clear(self):
         self.key, self.check = np.zeros(0, U64), np.zeros(0, U64)       # both hashes, by the first
-        self.at, self.len = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.at, self.len = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
 
-    def _store(self, ids: np.ndarray) -> int:
-        """Append ids to the pool; returns where they start."""
+    def _store(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Append the spans' ids to the pool; returns where they are and how many."""
+        ids, place, size = self.learn(raw, start, end)
         at, self.used = self.used, self.used + len(ids)
         if self.used > len(self.pool):
             self.pool = np.concatenate([self.pool[:at], np.zeros(max(at, self.used - at), np.int32)])
         self.pool[at:self.used] = ids
-        return at
+        return place + at, size
+
+    def ids(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, ids of each span)."""
+        check = arrays.span_hashes(raw, start, end, 1)
+        which, keys = pd.factorize(arrays.span_hashes(raw, start, end))
+        where = np.empty(len(keys), np.int64)
+        where[which[::-1]] = np.arange(len(which) - 1, -1, -1)          # the first of each
+        if len(self.key) + len(keys) > self.keep:
+            self._clear()
+        order = np.argsort(keys)
+        keys, where = keys[order], where[order]
+        slot = np.searchsorted(self.key, keys)
+        known = np.zeros(len(keys), bool)
+        if len(self.key):
+            known = self.key.take(slot, mode="clip") == keys
+        new = np.flatnonzero(~known)
+        if len(new):
+            rows = where[new]
+            at, size = self._store(raw, start[rows], end[rows])
+            for name, x in (("key", keys[new]), ("check", check[rows]), ("at", at), ("len", size)):
+                setattr(self, name, np.insert(getattr(self, name), slot[new], x))
+            slot += np.cumsum(~known) - ~known                          # those put in before it
+        back = np.empty_like(order)
+        back[order] = slot
+        at, size = self.at[back].take(which), self.len[back].take(which)
+        other = np.flatnonzero(self.check[back].take(which) != check)   # another span of the same first hash
+        if len(other):
+            at[other], size[other] = self._store(raw, start[other], end[other])
+        return self.pool[ranges(at, size)], size
+
+
+class PatternDiffers(Exception):
+    """The library cuts a text into other pre-tokens than ``pre_tokens``."""
+
+
+class WordTokenizer:
+    """Ids of texts by way of their distinct words, and of these by way of their
+    distinct pre-tokens; both are kept for later batches."""
+
+    def __init__(self, path: str, keep: int = 2_000_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.plain = plain_form(path, self.tok) or self.tok
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.vocab = max(vocab.values()) + 1
+        self.ends = np.zeros(self.vocab, bool)                # ids that end a pre-token
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.words, self.pieces = Kept(self._encode_words, keep), Kept(self._encode_pieces, keep)
 
     def _encode_alone(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        return np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got], np.int32)
-
-    def _encode_together(self, tok, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Many words to a call, told apart again by their number of pre-tokens."""
-        groups = [b" ".join(words[i:i + TOGETHER]).decode() for i in range(0, len(words), TOGETHER)]
-        got = [e.ids for e in tok.encode_batch_fast(groups, add_special_tokens=False)]
-        flat = np.concatenate([np.array(x, np.int32) for x in got])
-        ends = np.flatnonzero(self.ends[flat])
-        per_group = np.add.reduceat(self.ends[flat], np.cumsum([0] + [len(x) for x in got[:-1]]), dtype=np.int64)
-        if (per_group != np.add.reduceat(counts, np.arange(0, len(words), TOGETHER))).any():
-            return self._encode_alone(words)                  # the pattern is not the expected one
-        last = ends[np.cumsum(counts) - 1]
-        return flat, np.diff(last, prepend=-1).astype(np.int32)
-
-    def encode_words(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Encode words and store their ids: (place in the pool, number of ids)."""
+        return np.fromiter((i for x in got for i in x), np.int32), np.array([len(x) for x in got], np.int64)
+
+    def _encode_together(self, tok, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Many pre-tokens to a call, told apart again by the ids that end one."""
+        groups = [pieces[i:i + TOGETHER] for i in range(0, len(pieces), TOGETHER)]
+        got = [np.array(e.ids, np.int32) for e in tok.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)]
+        if any(np.count_nonzero(self.ends[x]) != len(g) or not self.ends[x[-1]] for x, g in zip(got, groups)):
+            raise PatternDiffers
+        flat = np.concatenate(got)
+        return flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+
+    def _encode_pieces(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """Encode pre-tokens, A-Z lowered."""
+        source = raw.tobytes()
+        lens = end - start
+        wide = np.add.reduceat(raw[ranges(start, lens)] > 127, np.cumsum(lens) - lens, dtype=np.int64) > 0
+        ids, place, size, used = [], np.empty(len(start), np.int64), np.empty(len(start), np.int64), 0
+        for rows, tok in ((np.flatnonzero(~wide), self.plain), (np.flatnonzero(wide), self.tok)):
+            if len(rows):
+                flat, n = self._encode_together(tok, [source[i:j] for i, j in zip(start[rows].tolist(), end[rows].tolist())])
+                place[rows], size[rows] = used + np.cumsum(n) - n, n
+                ids.append(flat)
+                used += len(flat)
+        return np.concatenate(ids), place, size
+
+    def _encode_words(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """Encode words: by their pre-tokens where these are plain to see."""
         lens = end - start
         data = raw[ranges(start, lens)]
         first = np.cumsum(lens) - lens
         counts, new = pre_tokens(data, first)
-        ascii_only = np.add.reduceat(data > 127, first, dtype=np.int64) == 0
-        plain = (counts > 0) & ascii_only if self.plain else np.zeros(len(start), bool)
-        at, size = np.zeros(len(start), np.int64), np.zeros(len(start), np.int32)
-        as_is = (data, first, first + lens)
-        for rows, tok, (source, a, z) in ((plain, self.plain, spaced(data, first, new)), (~plain & (counts > 0), self.tok, as_is),
-                                          (counts == 0, None, as_is)):
-            rows = np.flatnonzero(rows)
-            if len(rows):
-                source = source.tobytes()
-                words = [source[i:j] for i, j in zip(a[rows].tolist(), z[rows].tolist())]
-                flat, n = self._encode_together(tok, words, counts[rows]) if tok else self._encode_alone(words)
-                at[rows], size[rows] = self._store(flat) + np.cumsum(n, dtype=np.int64) - n, n
-        return at, size
-
-    def _learn(self, keys: np.ndarray, check: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray):
-        at, size = self.encode_words(raw, start, end)
-        slot = np.searchsorted(self.key, keys)
-        self.key, self.check = np.insert(self.key, slot, keys), np.insert(self.check, slot, check)
-        self.at, self.len = np.insert(self.at, slot, at), np.insert(self.len, slot, size)
+        ids, place, size = np.zeros(0, np.int32), np.empty(len(start), np.int64), np.empty(len(start), np.int64)
+        cut = counts > 0
+        if cut.any():
+            a = np.flatnonzero(new)
+            z = np.append(a[1:], len(data))
+            inside = np.repeat(cut, lens)[a]
+            try:
+                ids, n = self.pieces.ids(LOWER[data], a[inside], z[inside])
+                size[cut] = np.add.reduceat(n, np.cumsum(counts[cut]) - counts[cut])
+                place[cut] = np.cumsum(size[cut]) - size[cut]
+            except PatternDiffers:
+                cut[:] = False
+        alone = np.flatnonzero(~cut)
+        if len(alone):
+            source = data.tobytes()
+            flat, n = self._encode_alone([source[i:i + k] for i, k in zip(first[alone].tolist(), lens[alone].tolist())])
+            place[alone], size[alone] = len(ids) + np.cumsum(n) - n, n
+            ids = np.concatenate([ids, flat])
+        return ids, place, size
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ids of each row)."""
         w = Words(raw, offsets)
         if not len(w.start):
             return np.zeros(0, np.int32), np.zeros(len(w.counts), np.int64)
-        check = w.hashes(seed=1)
-        which, keys = pd.factorize(w.hashes())
-        where = np.empty(len(keys), np.int64)
-        where[which[::-1]] = np.arange(len(which) - 1, -1, -1)          # the first of each
-        if len(self.key) + len(keys) > self.keep:
-            self._clear()
-        order = np.argsort(keys)
-        known = np.zeros(len(keys), bool)
-        if len(self.key):
-            slot = np.minimum(np.searchsorted(self.key, keys[order]), len(self.key) - 1)
-            known[order] = self.key[slot] == keys[order]
-        new = order[~known[order]]                                       # in rising order of their keys
-        if len(new):
-            self._learn(keys[new], check[where[new]], raw, w.start[where[new]], w.end[where[new]])
-        slot = np.empty(len(keys), np.int64)
-        slot[order] = np.searchsorted(self.key, keys[order])
-        slot = slot[which]
-        at, size = self.at[slot], self.len[slot].astype(np.int64)
-        other = np.flatnonzero(self.check[slot] != check)                # another word of the same first hash
-        if len(other):
-            at[other], size[other] = self.encode_words(raw, w.start[other], w.end[other])
+        ids, size = self.words.ids(raw, w.start, w.end)
         total = np.concatenate([[0], np.cumsum(size)])
-        return self.pool[ranges(at, size)], total[w.row_end] - total[w.row_start]
+        return ids, total[w.row_end] - total[w.row_start]
 
 
 _made: dict = {}

@@ -1,4 +1,6 @@
 import hashlib
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -101,3 +103,39 @@ def test_decoded_texts_and_empty_table(spark):
     got = {r.key: r.text for r in m.decode_ids(m.encode_texts(frame(spark), rate=0.4)).collect()}
     assert got == {i: t or "" for i, t in enumerate(TEXTS)} | {None: "null id"}
     assert m.round_trip(frame(spark).limit(0)).collect() == []
+
+
+def long_batch(n=2000):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(rng.randint(0, 400))) for _ in range(n)]
+    return pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(texts, pa.string()), pa.array(range(n), pa.int64())],
+                                      names=["key", "text", "h"])
+
+
+def test_memory_of_a_slice():
+    batch = long_batch()
+    assert batch.column(1).nbytes > 2 * 10**6
+    m.vocabulary(m.model_path())
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in m.encoded_batches([batch], m.model_path(), 0.1, 1))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == batch.num_rows and peak < 60 * 10**6           # about 130 MB in slices of 2 MB
+
+
+def test_slices_do_not_change_the_ids(monkeypatch):
+    def ids():
+        return [x for b in m.encoded_batches([long_batch(300)], m.model_path(), 0.2, 1) for x in b.column("ids").to_pylist()]
+
+    whole = ids()
+    monkeypatch.setattr(m, "SLICE", 1 << 12)
+    assert ids() == whole
+
+
+def test_round_trip_takes_one_worker_a_task(spark):
+    rows = [(1, "twice"), (1, "twice"), (2, "once")]
+    for df in (spark.createDataFrame(rows, "doc_id long, text string"), frame(spark)):
+        plan = m.round_trip(df)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1                      # decoding in a second map doubled the Python workers

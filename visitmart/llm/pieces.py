@@ -33,6 +33,7 @@ from .arrays import U64, mix64, ranges, release, slices, span_hashes, text_buffe
 MARK = "▁"
 PAD = -1
 MATRIX_LIMIT = 48                     # longer units go through the heap
+SLICE = 1 << 19                       # bytes of text merged together; a slice's arrays take about 100 times that
 _K1, _K2 = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 
 
@@ -311,34 +312,41 @@ class Decoder:
         return [data[a + 1:z] for a, z in zip(total[ends - counts].tolist(), total[ends].tolist())]
 
 
+def encoded_batches(batches, path: str, rate: float, seed: int):
+    """(key, text, 64 bits) batches -> (key, text_sha256, ids), a batch for each slice of about ``SLICE`` bytes of text."""
+    e = _cached(("e", path, rate, seed), lambda: Encoder(path, rate, seed))
+    for batch in batches:
+        raw, off = text_buffer(batch.column(1))
+        keys = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
+        for a, z in slices(off, SLICE):
+            ids, n = e.encode(raw, off[a:z + 1], keys[a:z])
+            sha = [hashlib.sha256(raw[s:t]).hexdigest() for s, t in zip(off[a:z].tolist(), off[a + 1:z + 1].tolist())]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            if ends[-1] >= 2**31:
+                raise ValueError("one slice of texts has over 2**31 pieces")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, z - a), pa.array(sha, pa.string()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())).cast(pa.list_(pa.int32()))],
+                names=["key", "text_sha256", "ids"])
+        release()
+
+
 def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, rate: float = 0.1,
-                 seed: int = 1) -> DataFrame:
+                 seed: int = 1, then=None, schema: str = "key {kind}, text_sha256 string, ids array<int>") -> DataFrame:
     """(key, text_sha256 of the input, ids) for each row. Null text: no ids.
 
     Rows with the same key and text are copies, numbered from 0; each has its own
     segmentation, and which row is which copy makes no difference. Columns
-    besides key and text are not read. Empty table: no rows.
+    besides key and text are not read. Empty table: no rows. ``then`` maps the
+    record batches of the result to those of ``schema`` ({kind}: the key's type)
+    in the worker that made them, where a second map would start another worker.
     """
     path = path or model_path()
     kind = df.schema[key].dataType.simpleString()
-    type_ = pa.schema([("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        e = _cached(("e", path, rate, seed), lambda: Encoder(path, rate, seed))
-        for batch in batches:
-            raw, off = text_buffer(batch.column(1))
-            keys = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
-            for a, z in slices(off, 1 << 21):
-                ids, n = e.encode(raw, off[a:z + 1], keys[a:z])
-                sha = [hashlib.sha256(raw[s:t]).hexdigest() for s, t in zip(off[a:z].tolist(), off[a + 1:z + 1].tolist())]
-                ends = np.concatenate([[0], np.cumsum(n)])
-                if ends[-1] >= 2**31:
-                    raise ValueError("one slice of texts has over 2**31 pieces")
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, z - a), pa.array(sha, pa.string()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())).cast(type_.field(0).type)],
-                    names=["key", "text_sha256", "ids"])
-            release()
+        made = encoded_batches(batches, path, rate, seed)
+        return then(made) if then else made
 
     slim, copy = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), F.lit(0)
     if rate > 0 and not slim.groupBy("key").count().filter("count > 1").isEmpty():
@@ -346,7 +354,7 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
         slim = slim.groupBy("key", "text").count()             # copies are counted before they shuffle
     slim = slim.select("key", "text", copy.alias("copy"))
     slim = slim.select("key", "text", F.xxhash64(F.col("key").cast("string"), "text", "copy").alias("h"))
-    return slim.mapInArrow(run, f"key {kind}, text_sha256 string, ids array<int>")
+    return slim.mapInArrow(run, schema.replace("{kind}", kind))
 
 
 def decode_ids(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -388,11 +396,9 @@ def round_trip(df: DataFrame, key: str = "doc_id", text: str = "text", path: str
             same = pa.array([x == y for x, y in zip(sha, batch.column(1).to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(crc, pa.int64()), pa.array(sha, pa.string()), same],
                                              names=["doc_id", "n_pieces", "ids_crc32", "text_sha256", "lossless"])
-            release()
 
-    enc = encode_texts(df, key, text, path, **kw)
-    kind = enc.schema["key"].dataType.simpleString()
-    return enc.mapInArrow(run, f"doc_id {kind}, n_pieces long, ids_crc32 long, text_sha256 string, lossless boolean")
+    return encode_texts(df, key, text, path, then=run,
+                        schema="doc_id {kind}, n_pieces long, ids_crc32 long, text_sha256 string, lossless boolean", **kw)
 
 
 def vocabulary(path: str) -> Pieces:

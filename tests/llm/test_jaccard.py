@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -170,3 +171,20 @@ def test_int_ids_over_several_chunks(spark, monkeypatch):
     for t in ("int", "long"):
         got = m.jaccard_components(spark.createDataFrame(rows, f"doc_id {t}, text string"))
         assert {r.doc_id: r.component_id for r in got.collect()} == {**dict.fromkeys(range(6), 0), 9: 9}, t
+
+
+def test_memory_of_a_slice_of_sets(spark, monkeypatch):
+    rng = random.Random(5)
+    text = pa.array([" ".join(str(rng.randrange(10**6)) for _ in range(200)) for _ in range(2000)], pa.string())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), text, pa.array(range(2000), pa.int64())], names=["doc_id", "text", "t"])
+    taken = []
+    monkeypatch.setattr(m, "releasing", lambda run: taken.append(run) or run)
+    m.class_rows(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 5)
+    tracemalloc.start()
+    try:
+        got = list(taken[0](iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(b.num_rows for b in got) == 2000 and sum(sum(b.column("n").to_pylist()) for b in got) == 2000 * 196
+    assert peak < 20 * 10**6                                      # 37 MB in slices of 2 MB, 10 MB in those of 512 KB

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import corpus_pipeline as p
+from visitmart.llm import arrays
 from visitmart.llm.arrays import text_buffer
 
 from .test_exact_dedup import brute as exact_brute
@@ -90,3 +91,17 @@ def test_text_buffer_of_slices():
 
     raw, off = text_buffer(pa.array(["ab", None, "c", "dé"]).slice(1, 3))
     assert raw.tobytes() == "cdé".encode() and off.tolist() == [0, 0, 1, 4]
+
+
+def test_workers_release_after_their_last_batch(monkeypatch):
+    seen = []
+
+    def run(batches):
+        try:
+            yield from batches
+        finally:
+            seen.append("ended")
+
+    monkeypatch.setattr(arrays, "release", lambda: seen.append("released"))
+    assert list(arrays.releasing(run)(iter([1, 2]))) == [1, 2]
+    assert seen == ["ended", "released"]

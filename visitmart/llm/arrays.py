@@ -79,6 +79,17 @@ def release() -> None:
         pass
 
 
+def releasing(run):
+    """``run``, a map over record batches, with a release once its last batch is
+    gone: the worker then waits beside later stages without it."""
+
+    def released(batches):
+        yield from run(batches)
+        release()
+
+    return released
+
+
 def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0, block: int = 1 << 14) -> np.ndarray:
     """A 64-bit hash of the bytes of each span of a buffer; another ``seed`` gives
     an independent one. Spans are hashed ``block`` at a time."""

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .arrays import LOWER, U64, Words, mix64, ranges, release, slices, text_buffer, window_hashes
+from .arrays import LOWER, U64, Words, mix64, ranges, release, releasing, slices, text_buffer, window_hashes
 from .components import components
 from .exchange import ASK, ask_table, low_bucket, pack_sorted, plan, split_buckets, unpack_sorted
 
@@ -96,7 +96,7 @@ def class_rows(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             text = batch.column(1)
             _, off = text_buffer(text)
-            for a, z in slices(off, 1 << 21):
+            for a, z in slices(off, 1 << 19):
                 s = Sets(text.slice(a, z - a), width)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), batch.column(2).slice(a, z - a),
                                                   pa.array(s.n.astype(np.int64)), pa.array(s.key, pa.binary())],
@@ -104,7 +104,7 @@ def class_rows(docs: DataFrame, width: int) -> DataFrame:
             release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text"), F.xxhash64("text").alias("t")).mapInArrow(
-        run, "doc_id long, t long, n long, cls binary")
+        releasing(run), "doc_id long, t long, n long, cls binary")
 
 
 class Chunk:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .arrays import ngrams, release, slices, text_buffer
+from .arrays import ngrams, release, releasing, slices, text_buffer
 
 BITS, SIZES = 15, (2, 3, 4)
 FIXED = 1 << 20
@@ -69,7 +69,7 @@ def fit(labelled: DataFrame, sample_rows: int = 20_000) -> tuple[list[str], np.n
         s = sum(np.frombuffer(x.as_py(), np.int64) for x in table["counts"])
         return pa.table({"lang": table["lang"][:1], "counts": pa.array([s.tobytes()], pa.binary())})
 
-    got = (rows.select("lang", "text").mapInArrow(count, "lang string, counts binary")
+    got = (rows.select("lang", "text").mapInArrow(releasing(count), "lang string, counts binary")
            .groupBy("lang").applyInArrow(add, "lang string, counts binary").collect())   # one row per language
     got.sort(key=lambda r: r["lang"])
     counts = np.array([np.frombuffer(r["counts"], np.int64) for r in got], float).reshape(len(got), 1 << BITS)
@@ -137,7 +137,7 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], markup_right:
     kind = rows.schema["key"].dataType.simpleString()
     evidence = materialize(rows.select("key", "text", F.col("declared").cast("string"), host.alias("host"), domain.alias("domain"),
                                        suffix.alias("suffix"))
-                           .mapInArrow(weigh, f"key {kind}, host string, domain string, suffix string, n_grams long, "
+                           .mapInArrow(releasing(weigh), f"key {kind}, host string, domain string, suffix string, n_grams long, "
                                               "ll array<double>, part array<long>"))
     if not L:
         return evidence.select("key", "n_grams", F.lit(None).cast("string").alias("lang"),

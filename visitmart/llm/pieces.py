@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U64, mix64, ranges, release, slices, span_hashes, text_buffer
+from .arrays import U64, mix64, ranges, release, releasing, slices, span_hashes, text_buffer
 
 MARK = "▁"
 PAD = -1
@@ -354,7 +354,7 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
         slim = slim.groupBy("key", "text").count()             # copies are counted before they shuffle
     slim = slim.select("key", "text", copy.alias("copy"))
     slim = slim.select("key", "text", F.xxhash64(F.col("key").cast("string"), "text", "copy").alias("h"))
-    return slim.mapInArrow(run, schema.replace("{kind}", kind))
+    return slim.mapInArrow(releasing(run), schema.replace("{kind}", kind))
 
 
 def decode_ids(encoded: DataFrame, path: str | None = None) -> DataFrame:
